@@ -33,7 +33,7 @@ from tierflow.operators.quality import (
 )
 from tierflow.operators.reconcile import missing_keys, reconcile_counts
 from tierflow.operators.records import normalise_records
-from tierflow.operators.silver import clean_users, invalid_users, valid_users
+from tierflow.operators.silver import INPUT_FIELDS, clean_users, invalid_users, valid_users
 from tierflow.plans import inputs
 from tierflow.schemas import BRONZE_SCHEMA, SILVER_SCHEMA, USER_SCHEMA
 from tierflow.session import work_dir
@@ -47,9 +47,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,41 +75,41 @@ def _plain(df: DataFrame, *names: str) -> DataFrame:
 # Records and messages
 
 
-@query
-def normalised_records(spark, sf_dir):
+@query("normalise_records")
+def _normalised_records(spark, sf_dir):
     records = inputs.api_records(inputs.events(spark, sf_dir))
     return normalise_records(records).drop("fetched_at")
 
 
-@query
-def message_key(spark, sf_dir):
+@query("message_key")
+def _message_key(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     return encode_messages(raw, "kafka_timestamp", "offset", "partition").select("offset", "key")
 
 
-@query
-def encoded_messages(spark, sf_dir):
+@query("encode_messages")
+def _encoded_messages(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     return encode_messages(raw, "kafka_timestamp", "offset", "partition").select("key", "value")
 
 
-@query
-def decode_envelope(spark, sf_dir):
+@query("decode_envelope")
+def _decode_envelope(spark, sf_dir):
     return decode_messages(inputs.envelopes(_raw(spark, sf_dir)))
 
 
 # Bronze
 
 
-@query
-def bronze_enrich(spark, sf_dir):
+@query("bronze_enrich")
+def _bronze_enrich(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     bronze = to_bronze(raw, batch_id=0, ingested_at=F.col("kafka_timestamp"))
     return bronze.drop("source_file")
 
 
-@query
-def lookback_window(spark, sf_dir):
+@query("lookback_window")
+def _lookback_window(spark, sf_dir):
     bronze = to_bronze(_raw(spark, sf_dir), 0, ingested_at=F.col("kafka_timestamp"))
     as_of = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
     return recent(bronze, as_of).select("offset", "user_id", "ingested_at")
@@ -115,20 +118,20 @@ def lookback_window(spark, sf_dir):
 # Silver, scored policy
 
 
-@query
-def dq_flags(spark, sf_dir):
+@query("dq_flags")
+def _dq_flags(spark, sf_dir):
     flagged = flag_quality(_raw(spark, sf_dir))
     return flagged.select("offset", "is_valid_email", "is_valid_age", "is_valid_country")
 
 
-@query
-def dq_score(spark, sf_dir):
+@query("dq_score")
+def _dq_score(spark, sf_dir):
     scored = score_quality(_raw(spark, sf_dir))
     return scored.select("offset", "data_quality_score", "is_complete")
 
 
-@query
-def dq_summary(spark, sf_dir):
+@query("dq_summary")
+def _dq_summary(spark, sf_dir):
     return quality_summary(score_quality(_raw(spark, sf_dir)))
 
 
@@ -136,26 +139,26 @@ def _scored_output(rows: DataFrame) -> DataFrame:
     return rows.drop("processed_at")
 
 
-@query
-def silver_complete(spark, sf_dir):
+@query("silver_complete")
+def _silver_complete(spark, sf_dir):
     return _scored_output(split_by_quality(score_quality(_raw(spark, sf_dir)))[0])
 
 
-@query
-def quarantine_rows(spark, sf_dir):
+@query("quarantine_rows")
+def _quarantine_rows(spark, sf_dir):
     return _scored_output(split_by_quality(score_quality(_raw(spark, sf_dir)))[1])
 
 
-@query
-def record_hashes(spark, sf_dir):
+@query("record_hash")
+def _record_hashes(spark, sf_dir):
     return _raw(spark, sf_dir).select("offset", record_hash().alias("record_hash"))
 
 
 # Silver, strict policy
 
 
-@query
-def cleaned_users(spark, sf_dir):
+@query("clean_users")
+def _cleaned_users(spark, sf_dir):
     return _plain(clean_users(_raw(spark, sf_dir)), "fetched_timestamp")
 
 
@@ -178,41 +181,41 @@ CLEANED_VIEWS = {
 QUERIES.update({name: _cleaned_columns(*columns) for name, columns in CLEANED_VIEWS.items()})
 
 
-@query
-def valid_users_stream(spark, sf_dir):
+@query("valid_users_stream")
+def _valid_users_stream(spark, sf_dir):
     return _plain(valid_users(clean_users(_raw(spark, sf_dir))), "fetched_timestamp")
 
 
-@query
-def invalid_dlq(spark, sf_dir):
+@query("invalid_dlq")
+def _invalid_dlq(spark, sf_dir):
     return _plain(invalid_users(clean_users(_raw(spark, sf_dir))), "fetched_timestamp")
 
 
-@query
-def latest_users_table(spark, sf_dir):
+@query("latest_users")
+def _latest_users_table(spark, sf_dir):
     return _plain(latest_users(_cleaned(spark, sf_dir)), "last_seen")
 
 
-@query
-def latest_users_with_nulls(spark, sf_dir):
+@query("latest_users_with_nulls")
+def _latest_users_with_nulls(spark, sf_dir):
     return _plain(latest_users(_cleaned(spark, sf_dir), ignore_nulls=False), "last_seen")
 
 
 # Gold
 
 
-@query
-def daily_country_stats(spark, sf_dir):
+@query("daily_country_stats")
+def _daily_country_stats(spark, sf_dir):
     return country_stats(_valid(spark, sf_dir), DAILY)
 
 
-@query
-def hourly_country_stats(spark, sf_dir):
+@query("hourly_country_stats")
+def _hourly_country_stats(spark, sf_dir):
     return country_stats(_valid(spark, sf_dir), HOURLY)
 
 
-@query
-def daily_from_hourly_rollup(spark, sf_dir):
+@query("daily_from_hourly_rollup")
+def _daily_from_hourly_rollup(spark, sf_dir):
     hourly = user_rollup(_valid(spark, sf_dir), HOURLY.size)
     return stats_from_rollup(coarsen_rollup(hourly, DAILY.size), DAILY)
 
@@ -223,13 +226,13 @@ def _loaded(spark: SparkSession, sf_dir: str, shape: GoldShape) -> DataFrame:
     return loaded.withColumn("last_updated_timestamp", utc_ntz(F.col("last_updated_timestamp")))
 
 
-@query
-def load_gold_daily(spark, sf_dir):
+@query("load_gold")
+def _load_gold_daily(spark, sf_dir):
     return _loaded(spark, sf_dir, DAILY)
 
 
-@query
-def load_gold_hourly(spark, sf_dir):
+@query("load_gold_hourly")
+def _load_gold_hourly(spark, sf_dir):
     return _loaded(spark, sf_dir, HOURLY)
 
 
@@ -255,13 +258,13 @@ def _changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def gold_changelog(spark, sf_dir):
+@query("gold_changelog")
+def _gold_changelog(spark, sf_dir):
     return _changelog(spark, sf_dir)
 
 
-@query
-def current_gold_daily(spark, sf_dir):
+@query("current_gold")
+def _current_gold_daily(spark, sf_dir):
     return current_gold(_changelog(spark, sf_dir), DAILY)
 
 
@@ -273,20 +276,20 @@ def _delivered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return raw, valid_users(clean_users(raw))
 
 
-@query
-def reconciled_counts(spark, sf_dir):
+@query("reconcile_counts")
+def _reconciled_counts(spark, sf_dir):
     return reconcile_counts(*_delivered(spark, sf_dir))
 
 
-@query
-def undelivered_keys(spark, sf_dir):
+@query("missing_keys")
+def _undelivered_keys(spark, sf_dir):
     raw, valid = _delivered(spark, sf_dir)
     expected = raw.select(F.coalesce("user_id", "uuid").alias("user_key"))
     return missing_keys(expected, valid.select("user_key"), "user_key")
 
 
-@query
-def relation_sizes(spark, sf_dir):
+@query("relation_sizes")
+def _relation_sizes(spark, sf_dir):
     """Rows per named relation."""
     counted = [
         df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("relation"), "n_rows")
@@ -301,11 +304,15 @@ def relation_sizes(spark, sf_dir):
 # Streams: run over the whole input until it is used up, then read the tables
 
 
-def _stream(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
+def _decoded_stream(spark: SparkSession, sf_dir: str, fields=None) -> DataFrame:
     raw = inputs.as_instants(inputs.raw_users(inputs.stream_events(spark, sf_dir)))
     return decode_messages(inputs.envelopes(raw), fields)
 
 
+def _cleaned_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_users(_decoded_stream(spark, sf_dir, INPUT_FIELDS), keep_envelope=True)
+
+
 def _fresh(spark: SparkSession, name: str) -> Settings:
     root = work_dir(spark, name)
     return Settings(
@@ -321,46 +328,46 @@ def _finished(query_handle) -> None:
 
 def _stream_gold(spark: SparkSession, sf_dir: str, shape: GoldShape) -> DataFrame:
     settings = _fresh(spark, shape.name)
-    _finished(jobs.gold_query(_stream(spark, sf_dir, jobs.INPUT_FIELDS), shape, settings))
+    _finished(jobs.gold_query(_cleaned_stream(spark, sf_dir), shape, settings))
     log = read_table(spark, jobs.table_name(settings, shape.name))
     return current_gold(log, shape)
 
 
-@query
-def stream_daily_country_stats(spark, sf_dir):
+@query("stream_daily_country_stats")
+def _stream_daily_country_stats(spark, sf_dir):
     return _stream_gold(spark, sf_dir, DAILY)
 
 
-@query
-def stream_hourly_country_stats(spark, sf_dir):
+@query("stream_hourly_country_stats")
+def _stream_hourly_country_stats(spark, sf_dir):
     return _stream_gold(spark, sf_dir, HOURLY)
 
 
-@query
-def stream_latest_users(spark, sf_dir):
+@query("stream_latest_users")
+def _stream_latest_users(spark, sf_dir):
     settings = _fresh(spark, "valid_users_table")
-    _finished(jobs.latest_query(_stream(spark, sf_dir, jobs.INPUT_FIELDS), settings))
+    _finished(jobs.latest_query(_cleaned_stream(spark, sf_dir), settings))
     log = read_table(spark, jobs.table_name(settings, "valid_users_table"))
     values = [c for c in log.columns if c not in ("user_key", "batch_id")]
     newest = log.groupBy("user_key").agg(F.max_by(F.struct(*values), "batch_id").alias("row"))
     return _plain(newest.select("user_key", "row.*"), "last_seen")
 
 
-@query
-def stream_dead_letters(spark, sf_dir):
+@query("stream_dead_letters")
+def _stream_dead_letters(spark, sf_dir):
     settings = _fresh(spark, "invalid_users_dlq")
-    _finished(jobs.dlq_query(_stream(spark, sf_dir, jobs.INPUT_FIELDS), settings))
+    _finished(jobs.dlq_query(_cleaned_stream(spark, sf_dir), settings))
     log = read_table(spark, jobs.table_name(settings, "invalid_users_dlq")).drop("batch_id")
     return _plain(log, "fetched_timestamp")
 
 
 def _bronze_table(spark: SparkSession, sf_dir: str, settings: Settings) -> str:
-    _finished(jobs.bronze_query(_stream(spark, sf_dir), settings))
+    _finished(jobs.bronze_query(_decoded_stream(spark, sf_dir), settings))
     return jobs.table_name(settings, "bronze_users")
 
 
-@query
-def stream_bronze_users(spark, sf_dir):
+@query("stream_bronze_users")
+def _stream_bronze_users(spark, sf_dir):
     settings = _fresh(spark, "bronze_users")
     table = read_table(spark, _bronze_table(spark, sf_dir, settings), schema=BRONZE_SCHEMA)
     kept = table.select(
@@ -369,8 +376,8 @@ def stream_bronze_users(spark, sf_dir):
     return kept.withColumn("kafka_timestamp", utc_ntz(F.col("kafka_timestamp")))
 
 
-@query
-def stream_silver_users(spark, sf_dir):
+@query("stream_silver_users")
+def _stream_silver_users(spark, sf_dir):
     """Bronze as a stream, scored and split: rows of both tables by score."""
     settings = _fresh(spark, "silver_users")
     bronze = stream_table(spark, _bronze_table(spark, sf_dir, settings), BRONZE_SCHEMA)

@@ -134,7 +134,7 @@ _SENT = f"""{_VALID}, expected AS (
 )"""
 
 ORACLES: dict[str, str] = {
-    "normalised_records": f"""SELECT {_list({
+    "normalise_records": f"""SELECT {_list({
         "user_id": API_EXPRESSIONS["id"],
         **{k: v for k, v in API_EXPRESSIONS.items() if k != "id"},
         **{k: "CAST(NULL AS STRING)" for k in (
@@ -146,7 +146,7 @@ ORACLES: dict[str, str] = {
     })} FROM events""",
     "message_key": f"""WITH {_RAW} SELECT "offset", coalesce(nullif(user_id, ''), nullif(uuid, '')) AS key
         FROM raw_users""",
-    "encoded_messages": f"""WITH {_RAW} SELECT coalesce(nullif(user_id, ''), nullif(uuid, '')) AS key,
+    "encode_messages": f"""WITH {_RAW} SELECT coalesce(nullif(user_id, ''), nullif(uuid, '')) AS key,
         CAST(to_json(struct_pack({", ".join(f"{c} := {c}" for c in USER_EXPRESSIONS)})) AS STRING) AS value
         FROM raw_users""",
     "decode_envelope": f'WITH {_RAW} SELECT {_USER_COLUMNS}, kafka_timestamp, "offset", "partition" FROM raw_users',
@@ -164,8 +164,8 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (WHERE is_valid_country) AS valid_country FROM scored""",
     "silver_complete": f"WITH {_SCORED} SELECT {_SCORED_COLUMNS} FROM scored WHERE is_complete",
     "quarantine_rows": f"WITH {_SCORED} SELECT {_SCORED_COLUMNS} FROM scored WHERE NOT is_complete",
-    "record_hashes": f'WITH {_SCORED} SELECT "offset", record_hash FROM scored',
-    "cleaned_users": f"WITH {_CLEANED} SELECT {_CLEANED_COLUMNS} FROM cleaned",
+    "record_hash": f'WITH {_SCORED} SELECT "offset", record_hash FROM scored',
+    "clean_users": f"WITH {_CLEANED} SELECT {_CLEANED_COLUMNS} FROM cleaned",
     "record_key": f'WITH {_CLEANED} SELECT "offset", user_key FROM cleaned',
     "clean_text": f'WITH {_CLEANED} SELECT "offset", name, email_normalized FROM cleaned',
     "age_validated": f'WITH {_CLEANED} SELECT "offset", age_validated FROM cleaned',
@@ -175,26 +175,26 @@ ORACLES: dict[str, str] = {
     "valid_users_stream": f"WITH {_VALID} SELECT {_CLEANED_COLUMNS} FROM valid",
     "invalid_dlq": f"""WITH {_CLEANED} SELECT {_CLEANED_COLUMNS}, 'INVALID_RECORD' AS error_type,
         processed_at AS rejected_at FROM cleaned WHERE data_quality_status = 'INVALID'""",
-    "latest_users_table": _latest(ignore_nulls=True),
+    "latest_users": _latest(ignore_nulls=True),
     "latest_users_with_nulls": _latest(ignore_nulls=False),
     "daily_country_stats": f"WITH {_DAILY} SELECT * FROM daily",
     "hourly_country_stats": f"WITH {_HOURLY} SELECT * FROM hourly",
     "daily_from_hourly_rollup": f"WITH {_DAILY} SELECT * FROM daily",
-    "load_gold_daily": f"""WITH {_DAILY} SELECT country_code AS "COUNTRY_CODE", total_users AS "TOTAL_USERS",
+    "load_gold": f"""WITH {_DAILY} SELECT country_code AS "COUNTRY_CODE", total_users AS "TOTAL_USERS",
         unique_users AS "UNIQUE_USERS", avg_age AS "AVG_AGE", min_age AS "MIN_AGE", max_age AS "MAX_AGE",
         event_date AS "EVENT_DATE", {_LOADED_TIME} FROM daily""",
     "load_gold_hourly": f"""WITH {_HOURLY} SELECT country_code AS "COUNTRY_CODE",
         users_this_hour AS "USERS_THIS_HOUR", unique_users_this_hour AS "UNIQUE_USERS_THIS_HOUR",
         avg_age_this_hour AS "AVG_AGE_THIS_HOUR", hour_bucket AS "HOUR_BUCKET", {_LOADED_TIME} FROM hourly""",
     "gold_changelog": f"WITH {_CHANGELOG} SELECT * FROM log",
-    "current_gold_daily": f"""WITH {_CHANGELOG} SELECT country_code, total_users, unique_users, event_date,
+    "current_gold": f"""WITH {_CHANGELOG} SELECT country_code, total_users, unique_users, event_date,
         last_updated FROM log
         QUALIFY row_number() OVER (PARTITION BY country_code, event_date
                                    ORDER BY batch_id DESC, last_updated DESC) = 1""",
-    "reconciled_counts": f"""WITH {_VALID}, counts AS (
+    "reconcile_counts": f"""WITH {_VALID}, counts AS (
           SELECT (SELECT count(*) FROM raw_users) AS expected, (SELECT count(*) FROM valid) AS sent
         ) SELECT expected, sent, expected = sent AS matched FROM counts""",
-    "undelivered_keys": f"""WITH {_SENT} SELECT coalesce(e.user_key, d.user_key) AS user_key,
+    "missing_keys": f"""WITH {_SENT} SELECT coalesce(e.user_key, d.user_key) AS user_key,
         coalesce(e.n, 0) AS expected, coalesce(d.n, 0) AS sent
         FROM expected e FULL OUTER JOIN delivered d ON e.user_key = d.user_key
         WHERE coalesce(e.n, 0) <> coalesce(d.n, 0)""",

@@ -74,6 +74,23 @@ SILVER_SCHEMA = T.StructType(
     ]
 )
 
+_ENVELOPE_FIELDS = [
+    T.StructField("kafka_timestamp", T.TimestampType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+]
+
+# The stored cleaned stream: cleaned fields, then what orders and windows need.
+CLEANED_SCHEMA = T.StructType(
+    _strings("user_key uuid name email_normalized")
+    + [T.StructField("age_validated", T.IntegerType())]
+    + _strings("country_code")
+    + [T.StructField("fetched_timestamp", T.TimestampType())]
+    + _strings("data_quality_status source api_version")
+    + [T.StructField("processed_at", T.LongType())]
+    + _ENVELOPE_FIELDS
+)
+
 # Upper-case field names of the gold messages.
 DAILY_MESSAGE_SCHEMA = T.StructType(
     [
@@ -98,8 +115,3 @@ HOURLY_MESSAGE_SCHEMA = T.StructType(
         T.StructField("LAST_UPDATED", T.LongType()),
     ]
 )
-
-
-def gold_table_schema(messages: T.StructType) -> T.StructType:
-    """The lower-case gold table that a gold message describes."""
-    return T.StructType([T.StructField(f.name.lower(), f.dataType) for f in messages.fields])

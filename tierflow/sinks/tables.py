@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 #: Formats whose partitions Spark itself can replace.
@@ -31,21 +31,30 @@ class Target:
         return self.fmt in FILE_FORMATS
 
 
-def _writer(df: DataFrame, target: Target, mode: str, partition_by: tuple[str, ...]):
+def _writer(
+    df: DataFrame, target: Target, mode: str, partition_by: tuple[str, ...]
+) -> DataFrameWriter:
     if target.rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(target.fmt).mode(mode).options(**target.options)
     return writer.partitionBy(*partition_by) if partition_by and target.is_files else writer
 
 
-def append_table(df: DataFrame, target: Target) -> None:
-    writer = _writer(df, target, "append", target.partition_by)
+def _save(writer: DataFrameWriter, target: Target) -> None:
     if target.is_files:
         writer.save(target.name)
     else:
         writer.option("table", target.name).save()
 
 
+def append_table(df: DataFrame, target: Target) -> None:
+    _save(_writer(df, target, "append", target.partition_by), target)
+
+
+def replace_table(df: DataFrame, target: Target) -> None:
+    _save(_writer(df, target, "overwrite", target.partition_by), target)
+
+
 def write_batch(df: DataFrame, target: Target, batch_id: int, key: str = "batch_id") -> None:
     """Write one micro-batch so that writing it again changes nothing.
 
@@ -62,13 +71,3 @@ def write_batch(df: DataFrame, target: Target, batch_id: int, key: str = "batch_
     keys = (key, *(c for c in target.partition_by if c != key))
     writer = _writer(df, target, "overwrite", keys)
     writer.option("partitionOverwriteMode", "dynamic").save(target.name)
-
-
-def write_scored_once(scored: DataFrame, target: Target) -> None:
-    """Complete and quarantined rows of a large batch in one pass over the input.
-
-    The two kinds get their own folders, ``is_complete=true`` and
-    ``is_complete=false``, below the table.
-    """
-    keys = ("is_complete", *target.partition_by)
-    _writer(scored, target, "append", keys).save(target.name)

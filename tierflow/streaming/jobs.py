@@ -6,18 +6,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tierflow.operators.gold import DAILY, HOURLY, GoldShape, load_gold
 from tierflow.operators.latest import latest_users
 from tierflow.operators.messages import decode_messages
 from tierflow.operators.quality import score_quality
 from tierflow.operators.silver import (
+    ENVELOPE,
     INPUT_FIELDS,
     clean_users,
     invalid_users,
     valid_users,
 )
-from tierflow.schemas import BRONZE_SCHEMA
+from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA
 from tierflow.session import shared_dir
 from tierflow.settings import Settings
 from tierflow.sinks.tables import Target
@@ -26,6 +28,9 @@ from tierflow.sources.tables import stream_table
 from tierflow.streaming.stats import OUTPUT_MODES, stream_country_stats
 from tierflow.streaming.writers import BatchWriter, bronze_writer, silver_writer, table_writer
 
+#: Table of the derived stream that the later layers follow.
+CLEANED = "cleaned_users_stream"
+
 
 def table_name(settings: Settings, name: str) -> str:
     target = Target(name, settings.table_format)
@@ -69,41 +74,43 @@ def silver_query(bronze: DataFrame, settings: Settings) -> StreamingQuery:
 
 
 def cleaned_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
-    """All cleaned rows, the derived stream that others may read."""
-    writer = table_writer(target(settings, "cleaned_users_stream"))
-    return start(clean_users(decoded), "cleaned_users_stream", writer, settings)
+    """All cleaned rows as a table that the queries below follow, so each message
+    is parsed and cleaned once for all of them."""
+    writer = table_writer(target(settings, CLEANED))
+    return start(clean_users(decoded, keep_envelope=True), CLEANED, writer, settings)
 
 
-def dlq_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
+def dlq_query(cleaned: DataFrame, settings: Settings) -> StreamingQuery:
     writer = table_writer(target(settings, "invalid_users_dlq"))
-    return start(invalid_users(clean_users(decoded)), "invalid_users_dlq", writer, settings)
+    rejected = invalid_users(cleaned.drop(*ENVELOPE))
+    return start(rejected, "invalid_users_dlq", writer, settings)
 
 
-def latest_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
+def latest_query(cleaned: DataFrame, settings: Settings) -> StreamingQuery:
     """Update log of the newest values per user."""
-    latest = latest_users(clean_users(decoded, keep_envelope=True))
     writer = table_writer(target(settings, "valid_users_table"))
-    return start(latest, "valid_users_table", writer, settings, "update")
+    return start(latest_users(cleaned), "valid_users_table", writer, settings, "update")
 
 
 def gold_query(
-    decoded: DataFrame, shape: GoldShape, settings: Settings, distinct: str = "exact"
+    cleaned: DataFrame, shape: GoldShape, settings: Settings, distinct: str = "exact"
 ) -> StreamingQuery:
     """Update log of one gold table (final rows only for ``closed``)."""
-    users = valid_users(clean_users(decoded, keep_envelope=True))
-    stats = stream_country_stats(users, shape, distinct, settings.watermark)
+    stats = stream_country_stats(valid_users(cleaned), shape, distinct, settings.watermark)
     writer = table_writer(target(settings, shape.name))
     return start(stats, shape.name, writer, settings, OUTPUT_MODES[distinct])
 
 
-def gold_loader(envelopes: DataFrame, shape: GoldShape, settings: Settings) -> StreamingQuery:
+def gold_loader(
+    envelopes: DataFrame, shape: GoldShape, settings: Settings, sample: int = 0
+) -> StreamingQuery:
     """Gold messages to a warehouse table."""
     name = f"{shape.name}_loader"
-    writer = table_writer(target(settings, name))
+    writer = table_writer(target(settings, name), sample=sample)
     return start(load_gold(envelopes, shape), name, writer, settings)
 
 
-LAYERS = ("bronze", "silver", "cleaned", "dlq", "latest", "daily", "hourly")
+LAYERS = ("bronze", "cleaned", "silver", "dlq", "latest", "daily", "hourly")
 
 
 def run_layers(
@@ -111,31 +118,36 @@ def run_layers(
 ) -> list[StreamingQuery]:
     """Start the chosen layer queries, each with its own checkpoint.
 
-    Every query reads the topic for itself and asks the parser only for the
-    fields it uses; silver reads the bronze table.
+    Two queries read the topic: bronze keeps all user fields, the cleaned stream
+    asks the parser only for what the strict policy uses. Silver follows the
+    bronze table, the others follow the cleaned table.
     """
 
-    def decoded(starting: str = "earliest", fields: Iterable[str] | None = INPUT_FIELDS) -> DataFrame:
-        messages = stream_messages(spark, settings, starting=starting)
-        return decode_messages(messages, None if fields is None else tuple(fields))
+    def follow(name: str, schema: StructType) -> DataFrame:
+        table = table_name(settings, name)
+        return stream_table(spark, table, schema, settings.table_format, settings.table_options)
+
+    def bronze() -> StreamingQuery:
+        return bronze_query(decode_messages(stream_messages(spark, settings)), settings)
 
-    def bronze_table() -> DataFrame:
-        name = table_name(settings, "bronze_users")
-        return stream_table(spark, name, BRONZE_SCHEMA, settings.table_format, settings.table_options)
+    def cleaned() -> StreamingQuery:
+        messages = stream_messages(spark, settings, starting="earliest")
+        return cleaned_query(decode_messages(messages, INPUT_FIELDS), settings)
+
+    def cleaned_rows() -> DataFrame:
+        return follow(CLEANED, CLEANED_SCHEMA)
 
     starters = {
-        "bronze": lambda: bronze_query(decoded("latest", None), settings),
-        "silver": lambda: silver_query(bronze_table(), settings),
-        "cleaned": lambda: cleaned_query(decoded(), settings),
-        "dlq": lambda: dlq_query(decoded(), settings),
-        "latest": lambda: latest_query(decoded(), settings),
-        "daily": lambda: gold_query(decoded(), DAILY, settings),
-        "hourly": lambda: gold_query(decoded(), HOURLY, settings),
+        "bronze": bronze,
+        "cleaned": cleaned,
+        "silver": lambda: silver_query(follow("bronze_users", BRONZE_SCHEMA), settings),
+        "dlq": lambda: dlq_query(cleaned_rows(), settings),
+        "latest": lambda: latest_query(cleaned_rows(), settings),
+        "daily": lambda: gold_query(cleaned_rows(), DAILY, settings),
+        "hourly": lambda: gold_query(cleaned_rows(), HOURLY, settings),
     }
     return [starters[layer]() for layer in layers]
 
 
 def await_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
-
-

@@ -52,10 +52,13 @@ def silver_writer(complete: Target, quarantine: Target) -> BatchWriter:
     return write
 
 
-def table_writer(target: Target, key: str = "batch_id") -> BatchWriter:
-    """Rows as they come: stateless streams, and update logs of aggregates."""
+def table_writer(target: Target, key: str = "batch_id", sample: int = 0) -> BatchWriter:
+    """Rows as they come: stateless streams, and update logs of aggregates.
+    ``sample`` prints that many rows of each batch."""
 
     def write(df: DataFrame, batch_id: int) -> None:
+        if sample:
+            df.limit(sample).show(truncate=False)
         write_batch(df, target, batch_id, key=key)
 
     return write
