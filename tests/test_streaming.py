@@ -81,15 +81,47 @@ def test_exact_stream_equals_batch_over_several_runs(spark, users, settings, sha
     assert log.select("batch_id").distinct().count() == 3
 
 
-@pytest.mark.parametrize("spread", [1, 4])
-def test_spread_changes_no_result(spark, users, settings, tmp_path, spread):
-    raw = some_users(users, 200, 7)
-    send(raw, settings)
-    stats = stream_country_stats(valid_users(cleaned_stream(spark, settings)), DAILY, spread=spread)
-    out = []
-    finish(jobs.start(stats, "spread", lambda df, _: out.extend(map(tuple, df.collect())), settings, "update"))
+@pytest.mark.parametrize("watermark", [None, "400 hours"])
+def test_repeats_are_combined_before_the_shuffle(spark, users, settings, monkeypatch, watermark):
+    """Small Arrow batches, so that users repeat inside and across chunks."""
+    raw = some_users(users, 300, 7)
+    send(raw.coalesce(1), settings)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        bounded = replace(settings, watermark=watermark)
+        query = finish(jobs.gold_query(cleaned_stream(spark, settings), DAILY, bounded))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     expected = country_stats(valid_users(clean_users(raw, keep_envelope=True)), DAILY)
-    assert sorted(out, key=repr) == bag(expected)
+    assert bag(current_gold(gold_log(spark, settings, DAILY), DAILY)) == bag(expected)
+    dedupe = [o for o in query.recentProgress[0].stateOperators if o.operatorName == "dedupe"]
+    assert len(dedupe) == 1
+
+
+def test_combining_keeps_every_user_and_the_newest_time():
+    import pyarrow as pa
+
+    from tierflow.streaming.stats import combiner
+
+    rng = random.Random(1)
+    rows = [
+        {"start": T0, "country_code": rng.choice(["TH", None]), "user_key": rng.choice(["a", "b", None]),
+         "kafka_timestamp": T0 + dt.timedelta(seconds=i)}
+        for i in range(1000)
+    ]
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 10]) for i in range(0, 1000, 10)]
+    out = [r for b in combiner()(iter(batches)) for r in b.to_pylist()]
+    assert len(out) <= 6 * 7  # six groups, seven chunks
+
+    def newest(found):
+        best = {}
+        for r in found:
+            key = (r["country_code"], r["user_key"])
+            best[key] = max(best.get(key, T0), r["kafka_timestamp"])
+        return best
+
+    assert newest(out) == newest(rows)
+    assert list(combiner()(iter([]))) == []
 
 
 def test_approximate_stream_has_exact_counts_and_close_users(spark, users, settings):

@@ -35,11 +35,11 @@ from tierflow.operators.reconcile import missing_keys, reconcile_counts
 from tierflow.operators.records import normalise_records
 from tierflow.operators.silver import INPUT_FIELDS, clean_users, invalid_users, valid_users
 from tierflow.plans import inputs
-from tierflow.schemas import BRONZE_SCHEMA, SILVER_SCHEMA, USER_SCHEMA
+from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA, SILVER_SCHEMA, USER_SCHEMA
 from tierflow.session import work_dir
 from tierflow.settings import Settings
 from tierflow.sources.relations import relations
-from tierflow.sources.tables import read_table, stream_table
+from tierflow.sources.tables import read_table
 from tierflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,6 +319,7 @@ def _fresh(spark: SparkSession, name: str) -> Settings:
         table_root=f"{root}/tables",
         checkpoint_root=f"{root}/checkpoints",
         trigger={"availableNow": True},
+        max_files=1000,
     )
 
 
@@ -327,8 +328,11 @@ def _finished(query_handle) -> None:
 
 
 def _stream_gold(spark: SparkSession, sf_dir: str, shape: GoldShape) -> DataFrame:
+    """Messages to the cleaned table, and gold following that table."""
     settings = _fresh(spark, shape.name)
-    _finished(jobs.gold_query(_cleaned_stream(spark, sf_dir), shape, settings))
+    _finished(jobs.cleaned_query(_decoded_stream(spark, sf_dir, INPUT_FIELDS), settings))
+    cleaned = jobs.follow(spark, settings, jobs.CLEANED, CLEANED_SCHEMA)
+    _finished(jobs.gold_query(cleaned, shape, settings))
     log = read_table(spark, jobs.table_name(settings, shape.name))
     return current_gold(log, shape)
 
@@ -380,7 +384,8 @@ def _stream_bronze_users(spark, sf_dir):
 def _stream_silver_users(spark, sf_dir):
     """Bronze as a stream, scored and split: rows of both tables by score."""
     settings = _fresh(spark, "silver_users")
-    bronze = stream_table(spark, _bronze_table(spark, sf_dir, settings), BRONZE_SCHEMA)
+    _bronze_table(spark, sf_dir, settings)
+    bronze = jobs.follow(spark, settings, "bronze_users", BRONZE_SCHEMA)
     _finished(jobs.silver_query(bronze, settings))
     kept, rejected = (
         read_table(spark, jobs.table_name(settings, name), schema=SILVER_SCHEMA)

@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # HotSpot never compiles methods above 8000 bytes of bytecode; past that size
+    # a wide projection runs faster split up than as one interpreted method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Streaming state on local disk with checkpointed changes, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -20,6 +20,8 @@ class Settings:
     #: Shared folder for checkpoints; each query takes its own folder below it.
     checkpoint_root: str | None = None
     trigger: Mapping[str, object] = field(default_factory=lambda: {"processingTime": "1 minute"})
+    #: Files a query that follows a table takes per micro-batch.
+    max_files: int = 10
     #: Bound on lateness in gold; ``None`` accepts all late rows and keeps all state.
     watermark: str | None = None
 

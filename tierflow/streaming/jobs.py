@@ -110,6 +110,18 @@ def gold_loader(
     return start(load_gold(envelopes, shape), name, writer, settings)
 
 
+def follow(spark: SparkSession, settings: Settings, name: str, schema: StructType) -> DataFrame:
+    """The rows another query adds to a table, as they come."""
+    return stream_table(
+        spark,
+        table_name(settings, name),
+        schema,
+        settings.table_format,
+        settings.table_options,
+        settings.max_files,
+    )
+
+
 LAYERS = ("bronze", "cleaned", "silver", "dlq", "latest", "daily", "hourly")
 
 
@@ -123,10 +135,6 @@ def run_layers(
     bronze table, the others follow the cleaned table.
     """
 
-    def follow(name: str, schema: StructType) -> DataFrame:
-        table = table_name(settings, name)
-        return stream_table(spark, table, schema, settings.table_format, settings.table_options)
-
     def bronze() -> StreamingQuery:
         return bronze_query(decode_messages(stream_messages(spark, settings)), settings)
 
@@ -135,12 +143,12 @@ def run_layers(
         return cleaned_query(decode_messages(messages, INPUT_FIELDS), settings)
 
     def cleaned_rows() -> DataFrame:
-        return follow(CLEANED, CLEANED_SCHEMA)
+        return follow(spark, settings, CLEANED, CLEANED_SCHEMA)
 
     starters = {
         "bronze": bronze,
         "cleaned": cleaned,
-        "silver": lambda: silver_query(follow("bronze_users", BRONZE_SCHEMA), settings),
+        "silver": lambda: silver_query(follow(spark, settings, "bronze_users", BRONZE_SCHEMA), settings),
         "dlq": lambda: dlq_query(cleaned_rows(), settings),
         "latest": lambda: latest_query(cleaned_rows(), settings),
         "daily": lambda: gold_query(cleaned_rows(), DAILY, settings),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,13 +14,14 @@ from tierflow.operators.gold import GoldShape, shaped, stats_from_rollup, user_r
 #: Output mode of each way to count distinct users.
 OUTPUT_MODES = {"exact": "update", "approx": "update", "closed": "append"}
 
+SEEN = ["kafka_timestamp", "country_code", "user_key"]
+
 
 def stream_country_stats(
     users: DataFrame,
     shape: GoldShape,
     distinct: str = "exact",
     watermark: str | None = None,
-    spread: int = 16,
 ) -> DataFrame:
     """Statistics of valid users (a stream with envelope columns).
 
@@ -31,10 +36,9 @@ def stream_country_stats(
     ``watermark`` bounds lateness and lets state be dropped; without one every
     late row counts and state is kept for ever. ``closed`` needs it.
     """
-    if watermark is not None:
-        users = users.withWatermark("kafka_timestamp", watermark)
     if distinct == "exact":
-        return _exact(users, shape, spread)
+        return _exact(users, shape, watermark)
+    users = _bounded(users, watermark)
     if distinct == "approx":
         return _approx(users, shape)
     if distinct == "closed":
@@ -44,30 +48,59 @@ def stream_country_stats(
     raise ValueError(f"distinct is one of {sorted(OUTPUT_MODES)}, not {distinct!r}")
 
 
-def _exact(users: DataFrame, shape: GoldShape, spread: int) -> DataFrame:
-    windowed = users.withColumn("window", F.window("kafka_timestamp", shape.size))
-    key = ["window", "country_code", "user_key"]
-    # Deduplication has no map-side combine, so a user with a large share of a
-    # micro-batch would land in one task. The first pass spreads each user over
-    # ``spread`` tasks; the second sees at most that many rows per user, ever.
-    firsts = (
-        windowed.filter(F.col("user_key").isNotNull())
-        .select(*key, F.pmod("offset", F.lit(spread)).alias("part"))
-        .dropDuplicates([*key, "part"])
-        .dropDuplicates(key)
+def _bounded(users: DataFrame, watermark: str | None) -> DataFrame:
+    return users if watermark is None else users.withWatermark("kafka_timestamp", watermark)
+
+
+def combiner(chunk: int = 16) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keep the newest message time per (window, country, user), ``chunk`` Arrow
+    batches at a time, so memory stays bounded whatever the task reads. (A
+    closure travels to the executors by value, a module function would not.)"""
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        while some := list(islice(batches, chunk)):
+            groups = pa.Table.from_batches(some).group_by(["start", "country_code", "user_key"])
+            newest = groups.aggregate([("kafka_timestamp", "max")])
+            columns = ("kafka_timestamp_max", "country_code", "user_key")
+            yield from newest.select(columns).rename_columns(SEEN).to_batches()
+
+    return combine
+
+
+def _seen_users(users: DataFrame, shape: GoldShape) -> DataFrame:
+    """Users per window and country with repeats removed inside each task.
+
+    Stream deduplication has no map-side combine, so a user with a third of all
+    rows would send them all to one task. This leaves a row per few batches.
+    """
+    rows = users.select(
+        F.window("kafka_timestamp", shape.size)["start"].alias("start"),
+        "country_code", "user_key", "kafka_timestamp",
     )
-    counted = windowed.select(
+    types = zip(SEEN, ("timestamp", "string", "string"))
+    return rows.mapInArrow(combiner(), ", ".join(f"{name} {kind}" for name, kind in types))
+
+
+def _exact(users: DataFrame, shape: GoldShape, watermark: str | None) -> DataFrame:
+    def windowed(rows: DataFrame) -> DataFrame:
+        rows = _bounded(rows, watermark)
+        return rows.withColumn("window", F.window("kafka_timestamp", shape.size))
+
+    none = F.lit(None)
+    rows = windowed(users).select(
         "window", "country_code", "age_validated", "processed_at",
         F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("first"),
-    ).unionByName(
-        firsts.select(
-            "window", "country_code",
-            F.lit(None).cast("int").alias("age_validated"),
-            F.lit(None).cast("long").alias("processed_at"),
-            F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("first"),
-        )
     )
-    return _stats(counted, shape, F.sum("n"), F.sum("first"))
+    # A null key is no user but still passes here, so that both branches see the
+    # same message times and move the watermark together.
+    firsts = windowed(_seen_users(users, shape)).dropDuplicates(["window", "country_code", "user_key"])
+    firsts = firsts.select(
+        "window", "country_code",
+        none.cast("int").alias("age_validated"), none.cast("long").alias("processed_at"),
+        F.lit(0).cast("long").alias("n"),
+        F.col("user_key").isNotNull().cast("long").alias("first"),
+    )
+    return _stats(rows.unionByName(firsts), shape, F.sum("n"), F.sum("first"))
 
 
 def _approx(users: DataFrame, shape: GoldShape) -> DataFrame:
