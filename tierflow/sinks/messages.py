@@ -25,8 +25,13 @@ def send_records(records: DataFrame, settings: Settings, topic: str | None = Non
     sent = Observation()
     messages = encode_messages(records).observe(sent, F.count(F.lit(1)).alias("sent"))
     if settings.message_format == "kafka":
-        options = {"kafka.bootstrap.servers": settings.bootstrap, **DELIVERY, "topic": topic}
-        messages.write.format("kafka").options(**options, **settings.message_options).save()
+        options = {
+            "kafka.bootstrap.servers": settings.bootstrap,
+            "topic": topic,
+            **DELIVERY,
+            **settings.message_options,
+        }
+        messages.write.format("kafka").options(**options).save()
     else:
         binary = messages.select(
             F.col("key").cast("binary").alias("key"),
