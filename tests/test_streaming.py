@@ -209,6 +209,33 @@ def test_all_layers_from_one_topic(spark, users, settings):
         assert bag(current_gold(table(shape.name), shape)) == bag(expected)
 
 
+def test_layers_started_before_any_data_keep_their_columns(spark, users, settings):
+    import os
+
+    os.makedirs(settings.topic)
+    ticking = replace(settings, trigger={"processingTime": "1 second"})
+    queries = jobs.run_layers(spark, ticking, ["bronze", "cleaned", "silver", "dlq"])
+    try:
+        for offset in (0, 1):
+            change = {"age": None, "email": None} if offset else {}
+            send(users({"offset": offset, **change}), settings)
+            for query in queries:
+                query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+
+    def rows(name, schema=None):
+        return read_table(spark, jobs.table_name(settings, name), schema=schema)
+
+    silver = rows("silver_users", SILVER_SCHEMA).unionByName(rows("silver_quarantine", SILVER_SCHEMA))
+    assert sorted((r.offset, r.event_date, r.batch_id, r.uuid) for r in silver.collect()) == [
+        (0, "2024-01-02", "0", "u-1"), (1, "2024-01-02", "1", "u-1"),
+    ]
+    dead = rows("invalid_users_dlq").select("user_key", "data_quality_status", "processed_at", "batch_id")
+    assert [r.data_quality_status for r in dead.collect()] == ["INVALID"]
+
+
 def test_restart_reads_only_new_messages(spark, users, settings):
     for offset in range(3):
         send(users({"offset": offset}), settings)

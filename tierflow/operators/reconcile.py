@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
+# Fixed value: the text of the mismatch warning.
+MISMATCH = "Delivery mismatch expected=%s , sent = %s"
+
 
 def _tagged(expected: DataFrame, sent: DataFrame, *keys: str) -> DataFrame:
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
@@ -47,5 +50,5 @@ def report_delivery(expected: int | None, sent: int | None) -> bool:
     if matched:
         logger.info("delivery validated: %s records", sent)
     else:
-        logger.warning("Delivery mismatch expected=%s , sent = %s", expected, sent)
+        logger.warning(MISMATCH, expected or 0, sent)
     return matched

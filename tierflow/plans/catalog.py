@@ -35,7 +35,7 @@ from tierflow.operators.reconcile import missing_keys, reconcile_counts
 from tierflow.operators.records import normalise_records
 from tierflow.operators.silver import INPUT_FIELDS, clean_users, invalid_users, valid_users
 from tierflow.plans import inputs
-from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA, SILVER_SCHEMA, USER_SCHEMA
+from tierflow.schemas import BRONZE_SCHEMA, SILVER_SCHEMA, USER_SCHEMA
 from tierflow.session import work_dir
 from tierflow.settings import Settings
 from tierflow.sources.relations import relations
@@ -331,7 +331,7 @@ def _stream_gold(spark: SparkSession, sf_dir: str, shape: GoldShape) -> DataFram
     """Messages to the cleaned table, and gold following that table."""
     settings = _fresh(spark, shape.name)
     _finished(jobs.cleaned_query(_decoded_stream(spark, sf_dir, INPUT_FIELDS), settings))
-    cleaned = jobs.follow(spark, settings, jobs.CLEANED, CLEANED_SCHEMA)
+    cleaned = jobs.follow(spark, settings, jobs.CLEANED)
     _finished(jobs.gold_query(cleaned, shape, settings))
     log = read_table(spark, jobs.table_name(settings, shape.name))
     return current_gold(log, shape)
@@ -385,11 +385,13 @@ def _stream_silver_users(spark, sf_dir):
     """Bronze as a stream, scored and split: rows of both tables by score."""
     settings = _fresh(spark, "silver_users")
     _bronze_table(spark, sf_dir, settings)
-    bronze = jobs.follow(spark, settings, "bronze_users", BRONZE_SCHEMA)
+    bronze = jobs.follow(spark, settings, jobs.BRONZE)
     _finished(jobs.silver_query(bronze, settings))
     kept, rejected = (
         read_table(spark, jobs.table_name(settings, name), schema=SILVER_SCHEMA)
-        .select("offset", "data_quality_score", "record_hash", F.lit(name).alias("table_name"))
+        .select(
+            "offset", "event_date", "data_quality_score", "record_hash", F.lit(name).alias("table_name")
+        )
         for name in ("silver_users", "silver_quarantine")
     )
     return kept.unionByName(rejected)

@@ -215,6 +215,6 @@ ORACLES: dict[str, str] = {
         processed_at AS rejected_at FROM cleaned WHERE data_quality_status = 'INVALID'""",
     "stream_bronze_users": f"""WITH {_RAW} SELECT {_USER_COLUMNS}, kafka_timestamp, "offset", "partition",
         {_EVENT_DATE} AS event_date FROM raw_users""",
-    "stream_silver_users": f"""WITH {_SCORED} SELECT "offset", data_quality_score, record_hash,
+    "stream_silver_users": f"""WITH {_SCORED} SELECT "offset", {_EVENT_DATE} AS event_date, data_quality_score, record_hash,
         CASE WHEN is_complete THEN 'silver_users' ELSE 'silver_quarantine' END AS table_name FROM scored""",
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Formats whose partitions Spark itself can replace.
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
@@ -55,6 +56,13 @@ def replace_table(df: DataFrame, target: Target) -> None:
     _save(_writer(df, target, "overwrite", target.partition_by), target)
 
 
+def ensure_table(spark: SparkSession, target: Target, schema: StructType) -> None:
+    """An empty file table where there is none, so that a stream can follow it."""
+    if target.is_files:
+        empty = spark.createDataFrame([], schema)
+        _save(_writer(empty, target, "ignore", target.partition_by), target)
+
+
 def write_batch(df: DataFrame, target: Target, batch_id: int, key: str = "batch_id") -> None:
     """Write one micro-batch so that writing it again changes nothing.
 

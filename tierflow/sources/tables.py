@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -28,7 +28,16 @@ def stream_table(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
     max_files: int = 10,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """New files of a table, at most ``max_files`` per micro-batch."""
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files)
-    return reader.options(**(options or {})).load(name)
+    """New files of a table, at most ``max_files`` per micro-batch.
+
+    Name the partition columns in folder order: Spark reads them after the others
+    and matches a stream's columns by position, so a stream that starts before
+    the table has any folder would otherwise mix them up.
+    """
+    fields = [f for f in schema.fields if f.name not in partition_by]
+    fields += [schema[name] for name in partition_by]
+    reader = spark.readStream.format(fmt).schema(StructType(fields))
+    reader = reader.option("maxFilesPerTrigger", max_files).options(**(options or {}))
+    return reader.load(name).select(*schema.fieldNames())

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tierflow.operators.gold import DAILY, HOURLY, GoldShape, load_gold
 from tierflow.operators.latest import latest_users
@@ -22,14 +22,19 @@ from tierflow.operators.silver import (
 from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA
 from tierflow.session import shared_dir
 from tierflow.settings import Settings
-from tierflow.sinks.tables import Target
+from tierflow.sinks.tables import Target, ensure_table
 from tierflow.sources.messages import stream_messages
 from tierflow.sources.tables import stream_table
 from tierflow.streaming.stats import OUTPUT_MODES, stream_country_stats
 from tierflow.streaming.writers import BatchWriter, bronze_writer, silver_writer, table_writer
 
-#: Table of the derived stream that the later layers follow.
-CLEANED = "cleaned_users_stream"
+#: Tables that later layers follow: their schema, and what partitions them below
+#: the batch id. Gold and dead letters each read their own half of the cleaned rows.
+BRONZE, CLEANED = "bronze_users", "cleaned_users_stream"
+FOLLOWED = {
+    BRONZE: (BRONZE_SCHEMA, ("event_date",)),
+    CLEANED: (CLEANED_SCHEMA, ("data_quality_status",)),
+}
 
 
 def table_name(settings: Settings, name: str) -> str:
@@ -61,7 +66,7 @@ def start(
 
 
 def bronze_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
-    writer = bronze_writer(target(settings, "bronze_users", "event_date"))
+    writer = bronze_writer(target(settings, BRONZE, *FOLLOWED[BRONZE][1]))
     return start(decoded, "bronze_writer", writer, settings)
 
 
@@ -76,7 +81,7 @@ def silver_query(bronze: DataFrame, settings: Settings) -> StreamingQuery:
 def cleaned_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
     """All cleaned rows as a table that the queries below follow, so each message
     is parsed and cleaned once for all of them."""
-    writer = table_writer(target(settings, CLEANED))
+    writer = table_writer(target(settings, CLEANED, *FOLLOWED[CLEANED][1]))
     return start(clean_users(decoded, keep_envelope=True), CLEANED, writer, settings)
 
 
@@ -110,16 +115,28 @@ def gold_loader(
     return start(load_gold(envelopes, shape), name, writer, settings)
 
 
-def follow(spark: SparkSession, settings: Settings, name: str, schema: StructType) -> DataFrame:
-    """The rows another query adds to a table, as they come."""
-    return stream_table(
+def _layout(name: str) -> tuple[StructType, tuple[str, ...]]:
+    """Stored schema and folder levels of a followed table."""
+    schema, below = FOLLOWED[name]
+    if "batch_id" not in schema.fieldNames():
+        schema = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return schema, ("batch_id", *below)
+
+
+def follow(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
+    """The rows another query adds to a table, as they come; the table may be empty."""
+    schema, folders = _layout(name)
+    ensure_table(spark, target(settings, name, *folders), schema)
+    rows = stream_table(
         spark,
         table_name(settings, name),
         schema,
         settings.table_format,
         settings.table_options,
         settings.max_files,
+        folders,
     )
+    return rows.select(*FOLLOWED[name][0].fieldNames())
 
 
 LAYERS = ("bronze", "cleaned", "silver", "dlq", "latest", "daily", "hourly")
@@ -142,19 +159,20 @@ def run_layers(
         messages = stream_messages(spark, settings, starting="earliest")
         return cleaned_query(decode_messages(messages, INPUT_FIELDS), settings)
 
-    def cleaned_rows() -> DataFrame:
-        return follow(spark, settings, CLEANED, CLEANED_SCHEMA)
-
+    followed = {"silver": BRONZE, "dlq": CLEANED, "latest": CLEANED, "daily": CLEANED, "hourly": CLEANED}
+    chosen = list(layers)
+    # All tables exist before any query writes to one.
+    rows = {layer: follow(spark, settings, followed[layer]) for layer in chosen if layer in followed}
     starters = {
         "bronze": bronze,
         "cleaned": cleaned,
-        "silver": lambda: silver_query(follow(spark, settings, "bronze_users", BRONZE_SCHEMA), settings),
-        "dlq": lambda: dlq_query(cleaned_rows(), settings),
-        "latest": lambda: latest_query(cleaned_rows(), settings),
-        "daily": lambda: gold_query(cleaned_rows(), DAILY, settings),
-        "hourly": lambda: gold_query(cleaned_rows(), HOURLY, settings),
+        "silver": lambda: silver_query(rows["silver"], settings),
+        "dlq": lambda: dlq_query(rows["dlq"], settings),
+        "latest": lambda: latest_query(rows["latest"], settings),
+        "daily": lambda: gold_query(rows["daily"], DAILY, settings),
+        "hourly": lambda: gold_query(rows["hourly"], HOURLY, settings),
     }
-    return [starters[layer]() for layer in layers]
+    return [starters[layer]() for layer in chosen]
 
 
 def await_any(spark: SparkSession) -> None:
