@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,10 +45,18 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver
+    has it, whatever folder the driver was started in. Clusters install it."""
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """Apply ``fn`` to each Arrow batch inside the tasks."""
+    find_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

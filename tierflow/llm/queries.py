@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import small_batches, table
 from tierflow.llm.mixing import mix_sources, word_count
+from tierflow.llm.pieces import encode_pieces, load_pieces
+from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.secrets import scan_secrets
+from tierflow.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,15 +22,34 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
     return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return encode_pieces(table(spark, sf_dir, "documents"), load_pieces())
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_secret_scan,
+        op4_simhash,
         op5_mix_sources,
+        op7_pieces,
+        op10_quality,
     )
 }
