@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierflow.session import work_dir
 
@@ -64,3 +67,55 @@ def map_batches(
                 yield from fn(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def map_groups(
+    df: DataFrame,
+    keys: list[str],
+    fn: Callable[[pa.Table, np.ndarray], Iterable[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """Apply ``fn`` to runs of whole groups: a table sorted by ``keys`` and the places
+    where its groups begin and end. Unlike grouped UDFs it costs one call for many
+    small groups. Keys are never null; the caller bounds the size of a group."""
+    find_package(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            bounds = _changes(rows, keys)
+            if len(bounds):
+                yield from fn(rows.slice(0, bounds[-1]), np.concatenate([[0], bounds]))
+            held = rows.slice(bounds[-1] if len(bounds) else 0)
+        if held is not None:
+            yield from fn(held, np.array([0, held.num_rows]))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _changes(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """Places where the key differs from the row before."""
+    changed = np.zeros(max(0, rows.num_rows - 1), dtype=bool)
+    for key in keys:
+        column = rows.column(key).combine_chunks()
+        differs = pc.not_equal(column.slice(1), column.slice(0, rows.num_rows - 1))
+        changed |= differs.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(changed) + 1
+
+
+def lists(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column, whatever slice of a larger one it is."""
+    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    offsets = array.offsets.to_numpy()
+    return array.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def usable_vector(name: str) -> Column:
+    """Whether a vector has components, none null or infinite, and is not zero."""
+    vector = F.col(name).cast("array<double>")
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
