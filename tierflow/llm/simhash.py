@@ -168,3 +168,151 @@ def simhash_components(
     return marked.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# Similar documents rather than close fingerprints: the fingerprints propose pairs
+# from further apart, and the shingles themselves decide.
+
+#: Bit orders in which fingerprints are sorted, places looked back in each order,
+#: partners proposed there, and the most bits that proposed pairs differ in.
+ORDERS, BACK, PARTNERS, REACH = 32, 16, 2, 13
+
+
+def _sorted_orders(fps: DataFrame) -> DataFrame:
+    """(order, key, fp): each fingerprint with its bits permuted in several ways. Near
+    fingerprints stand close in the orders whose leading bits they share, and crowded
+    places need no cutting: the more neighbours, the nearer they are."""
+
+    def permute(batch: pa.RecordBatch):
+        fp = batch.column(0).to_numpy()
+        bits = np.unpackbits(fp.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        draw = np.random.default_rng(17)
+        keys = []
+        for _ in range(ORDERS):
+            packed = np.packbits(bits[:, draw.permutation(BITS)], axis=1, bitorder="little")
+            keys.append(packed.copy().view("<i8").ravel())
+        arrays = [
+            pa.array(np.repeat(np.arange(ORDERS, dtype=np.int32), len(fp))),
+            pa.array(np.concatenate(keys)), pa.array(np.tile(fp, ORDERS)),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, names=["order", "key", "fp"])
+
+    return map_batches(fps.select("fp"), permute, "order int, key long, fp long")
+
+
+def proposed_pairs(fps: DataFrame, reach: int = REACH) -> DataFrame:
+    """(a, b): for each fingerprint, in each order, the nearest among those just before
+    it, if ``reach`` bits or fewer apart. Pairs whose distances to the references
+    differ by more are discarded before they are compared."""
+    references = np.array(_references(99, OVERALL), dtype=np.int64)
+
+    def look_back(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            order, fp = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            fresh = 0
+            if held is not None:
+                fresh = len(held[0])
+                order, fp = np.concatenate([held[0], order]), np.concatenate([held[1], fp])
+            held = order[-BACK:], fp[-BACK:]
+            table = np.bitwise_count(fp[:, None] ^ references).astype(np.int16)
+            distances = np.full((len(fp), BACK), BITS + 1, dtype=np.int16)
+            for back in range(1, min(BACK, len(fp) - 1) + 1):
+                fits = (order[back:] == order[:-back]) & (np.abs(table[back:] - table[:-back]).max(axis=1) <= reach)
+                rows = np.flatnonzero(fits)
+                distances[rows + back, back - 1] = np.bitwise_count(fp[rows + back] ^ fp[rows])
+            nearest = np.argsort(distances, axis=1, kind="stable")[:, :PARTNERS]
+            rows = np.repeat(np.arange(len(fp)), nearest.shape[1])
+            columns = nearest.ravel()
+            good = (distances[rows, columns] <= reach) & (rows >= fresh)
+            x, y = fp[rows[good]], fp[rows[good] - columns[good] - 1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    orders = _sorted_orders(fps).repartitionByRange("order", "key").sortWithinPartitions("order", "key", "fp")
+    return orders.mapInArrow(look_back, "a long, b long").distinct()
+
+
+def _similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Pairs (a, b, left, right) of texts whose shingle sets are similar enough."""
+
+    def compare(batch: pa.RecordBatch):
+        sets: dict[str | None, np.ndarray] = {}
+
+        def shingles(text):
+            if text not in sets:
+                sets[text] = np.unique(shingle_hashes(text, words))
+            return sets[text]
+
+        good = []
+        for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+            x, y = shingles(left), shingles(right)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            every = len(x) + len(y) - both
+            good.append(both >= similarity * every)
+        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return map_batches(pairs, compare, "a long, b long")
+
+
+def keep_one_per_group(
+    docs: DataFrame,
+    words: int = 5,
+    similarity: float = 0.8,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, all columns kept.
+
+    Texts link if they are equal or if the Jaccard similarity of their sets of
+    ``words``-word shingles is ``similarity`` or more; groups are what links connect.
+    Pairs come from SimHash fingerprints and every link is verified on the whole
+    texts. Of equal texts the row with the smallest id stays, of equal rows one.
+    Texts without words equal each other. A row with a null id stays only if its
+    text has no other id. An empty table gives no rows.
+    """
+    whole = F.coalesce(F.col(text_col), F.lit(""))
+    marks = {"__h1": F.xxhash64(whole), "__h2": F.xxhash64(F.lit(1), whole)}
+    marked = docs.withColumns(marks)
+
+    def compute(batch: pa.RecordBatch):
+        values = [fingerprint(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
+        columns = [batch.column(c) for c in ("node", "other", "id")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.int64())], names=["node", "other", "id", "fp"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    slim = marked.select(F.col("__h1").alias("node"), F.col("__h2").alias("other"), F.col(id_col).alias("id"), whole.alias("text"))
+    slim = stored(map_batches(slim, compute, f"node long, other long, id {kind}, fp long"), "near-rows")
+    same = slim.groupBy("node", "other", "id").agg(F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"))
+    classes = same.groupBy("node", "other").agg(
+        F.min("id").alias("id"), F.min_by("n", F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("n"), F.first("fp").alias("fp")
+    )
+    classes = stored(classes, "near-classes")
+
+    # Different texts with one fingerprint are compared with the first of them.
+    firsts = classes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("texts"))
+    firsts = stored(firsts, "near-fingerprints")
+    alike = classes.join(firsts.filter("texts > 1"), "fp").filter("node <> first")
+    alike = alike.select(F.col("node").alias("a"), F.col("first").alias("b"))
+    named = firsts.select("fp", "first")
+    apart = proposed_pairs(firsts.select("fp"))
+    apart = apart.join(named.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a")
+    apart = apart.join(named.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
+    pairs = stored(alike.unionByName(apart.select(F.col("x").alias("a"), F.col("y").alias("b"))), "near-pairs")
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = wanted.join(classes.select("node", "id"), "node")
+    texts = marked.select(F.col("__h1").alias("node"), F.col(id_col).alias("own"), whole.alias("text"))
+    texts = texts.join(wanted, "node").filter(F.col("own").eqNullSafe(F.col("id")))
+    texts = stored(texts.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    links = _similar(both.select("a", "b", "left", "right"), words, similarity)
+    grouped = components(stored(links, "near-links")).filter("node <> component").select("node")
+
+    stay = classes.join(grouped, "node", "left_anti")
+    stay = stay.select(F.col("node").alias("__h1"), F.col("other").alias("__h2"), F.col("id").alias("__id"), F.col("n").alias("__n"))
+    rows = marked.join(stay, ["__h1", "__h2"]).filter(F.col(id_col).eqNullSafe(F.col("__id")))
+    repeated = rows.filter("__n > 1").dropDuplicates(["__h1", "__h2", "__id"])
+    return rows.filter("__n = 1").unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))
