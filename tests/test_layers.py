@@ -106,7 +106,7 @@ def test_cleaned_rows_split_into_valid_and_dead_letters(users):
 def newest_by_hand(rows, ignore_nulls):
     groups = defaultdict(list)
     for r in sorted(rows, key=lambda r: (r.kafka_timestamp, r.partition, r.offset)):
-        if r.data_quality_status == "VALID":
+        if r.data_quality_status == "VALID" and r.user_key is not None:
             groups[r.user_key].append(r)
     fields = ("uuid", "name", "email_normalized", "age_validated", "country_code", "fetched_timestamp", "processed_at")
     out = []

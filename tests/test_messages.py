@@ -89,7 +89,8 @@ def test_kafka_options_come_from_settings():
         "kafka.bootstrap.servers": "a:9092,b:9092", "subscribe": "custom",
         "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5",
     }
-    assert Settings.from_env({}).bootstrap == "kafka:29092"
+    with pytest.raises(ValueError, match="bootstrap"):
+        kafka_options(Settings.from_env({}), "t", "latest")
 
 
 def test_record_files_hold_a_list_or_one_object(spark, tmp_path):

@@ -1,16 +1,18 @@
+import datetime as dt
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tierflow.batch import gold_batch, silver_batch
-from tierflow.operators.bronze import to_bronze
+from tierflow.operators.bronze import INGEST_DATE, recent, to_bronze
 from tierflow.operators.gold import DAILY, HOURLY, country_stats
+from tierflow.operators.log import compact_log, current_rows
 from tierflow.operators.quality import score_quality
 from tierflow.operators.silver import clean_users, valid_users
 from tierflow.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from tierflow.session import shared_dir, work_dir
-from tierflow.sinks.tables import Target, append_table, write_batch
+from tierflow.sinks.tables import Target, append_table, remove_folder, write_batch
 from tierflow.sources.tables import read_table
 from tierflow.streaming.jobs import table_name, target
 from tierflow.streaming.writers import bronze_writer, silver_writer, table_writer
@@ -94,12 +96,89 @@ def test_sample_rows_are_printed(users, tmp_path, capsys):
 def test_silver_batch_runs_again_without_duplicates(spark, users, settings):
     bronze = to_bronze(users({}, {"age": None, "country": None}), 3)
     append_table(bronze, target(settings, "bronze_users", "event_date"))
+    soon = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=5)
     for _ in range(2):
-        silver_batch(spark, settings, "2024-01-01 00:00:00")
+        silver_batch(spark, settings, soon.isoformat())
     silver_batch(spark, settings, "2999-01-01 00:00:00")
+    assert silver_rows(spark, settings) == [(0, True), (1, False)]
+
+
+def silver_rows(spark, settings):
+    table = read_table(spark, table_name(settings, "silver_batch"), schema=SILVER_SCHEMA)
+    return sorted((r.offset, r.is_complete) for r in table.collect())
+
+
+def bronze_at(users, settings, *times):
+    rows = users(*({"offset": i} for i in range(len(times))))
+    ingested = F.element_at(F.array(*(F.lit(t).cast("timestamp") for t in times)), F.col("offset").cast("int") + 1)
+    stamped = to_bronze(rows, 0, ingested).withColumn(INGEST_DATE, F.to_date("ingested_at"))
+    append_table(stamped, target(settings, "bronze_users", INGEST_DATE))
+
+
+def test_adjoining_spans_share_no_row(spark, users, settings):
+    bronze_at(users, settings, "2024-01-15 11:59:59", "2024-01-15 12:00:00", "2024-01-16 11:59:59.999999")
+    for as_of in ("2024-01-15 12:00:00", "2024-01-16 12:00:00"):
+        silver_batch(spark, settings, as_of, "24 HOURS")
+    assert silver_rows(spark, settings) == [(0, True), (1, True), (2, True)]
+
+
+def test_the_instant_names_the_run(spark, users, settings):
+    bronze_at(users, settings, "2024-01-15 11:30:00", "2024-11-05 11:30:00")
+    # The digits of these two are the same; the third is another spelling of the first.
+    for as_of in ("2024-1-15 12:00:00", "2024-11-5 12:00:00", "2024-01-15T13:00:00.000000+01:00"):
+        silver_batch(spark, settings, as_of)
+    assert silver_rows(spark, settings) == [(0, True), (1, True)]
+    with pytest.raises(ValueError):
+        silver_batch(spark, settings, "noon")
+
+
+def test_a_rerun_replaces_all_rows_of_its_run(spark, users, settings):
+    bronze_at(users, settings, "2024-01-15 11:30:00")
+    silver_batch(spark, settings, "2024-01-15 12:00:00")
+    remove_folder(spark, table_name(settings, "bronze_users"))
+    bronze_at(users, settings, "2023-01-01 00:00:00")
+    silver_batch(spark, settings, "2024-01-15 12:00:00")
     name = table_name(settings, "silver_batch")
-    table = read_table(spark, name, schema=SILVER_SCHEMA)
-    assert sorted((r.offset, r.is_complete) for r in table.collect()) == [(0, True), (1, False)]
+    assert spark.read.schema(SILVER_SCHEMA).parquet(name).count() == 0
+
+
+def test_the_look_back_reads_its_days_only(spark, users, settings):
+    bronze_at(users, settings, "2024-01-14 00:00:00", "2024-01-15 11:30:00")
+    table = read_table(spark, table_name(settings, "bronze_users"))
+    plan = recent(table, F.lit("2024-01-15 12:00:00").cast("timestamp"), until=True)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in text and plan.count() == 1
+
+
+def test_a_published_batch_keeps_its_files(spark, users, tmp_path):
+    place = Target(str(tmp_path / "t"))
+    write_batch(users({}), place, 0)
+    files = sorted(os.listdir(f"{place.name}/batch_id=0"))
+    write_batch(users({}, {}), place, 0)
+    assert sorted(os.listdir(f"{place.name}/batch_id=0")) == files
+    write_batch(users({}, {}), place, 0, replace=True)
+    assert spark.read.parquet(place.name).count() == 2
+
+
+def test_counts_on_connectors_are_those_of_the_write(spark, users, caplog):
+    caplog.set_level("INFO")
+    rows = users({}, {}, {"age": None, "country": None}).repartition(3)
+    outward = Target("t", "noop")
+    bronze_writer(outward)(rows, 0)
+    assert "bronze batch 0: 3 records" in caplog.text
+    silver_writer(outward, outward)(score_quality(to_bronze(rows, 0)), 0)
+    assert "'records': 3" in caplog.text and "'complete': 2" in caplog.text
+
+
+def test_compacted_log_reads_like_the_log(spark, tmp_path):
+    rows = [("a", 1, 0), ("b", 1, 0), ("a", 2, 1), ("a", 3, 10), ("c", 1, 2)]
+    log = spark.createDataFrame(rows, "key string, value int, batch_id long")
+    place = Target(str(tmp_path / "t"))
+    for _ in range(2):
+        compact_log(log, place, ["key"], 10)
+    compacted = spark.read.parquet(place.name)
+    assert compacted.count() == 3
+    assert bag(current_rows(compacted, ["key"])) == bag(current_rows(log, ["key"])) == [("a", 3), ("b", 1), ("c", 1)]
 
 
 def test_gold_batch_builds_both_tables_from_one_rollup(spark, users, settings):

@@ -7,11 +7,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tierflow.operators.gold import DAILY, HOURLY, country_stats, current_gold
-from tierflow.operators.latest import latest_users
+from tierflow.operators.latest import current_latest_users, latest_users
 from tierflow.operators.messages import decode_messages, encode_gold
 from tierflow.operators.silver import INPUT_FIELDS, clean_users, invalid_users, valid_users
 from tierflow.plans import inputs
 from tierflow.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from tierflow.sinks.tables import remove_folder
 from tierflow.sources.messages import stream_messages
 from tierflow.sources.relations import list_streams
 from tierflow.sources.tables import read_table, stream_table
@@ -81,47 +82,91 @@ def test_exact_stream_equals_batch_over_several_runs(spark, users, settings, sha
     assert log.select("batch_id").distinct().count() == 3
 
 
-@pytest.mark.parametrize("watermark", [None, "400 hours"])
-def test_repeats_are_combined_before_the_shuffle(spark, users, settings, monkeypatch, watermark):
-    """Small Arrow batches, so that users repeat inside and across chunks."""
-    raw = some_users(users, 300, 7)
-    send(raw.coalesce(1), settings)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
-    try:
-        bounded = replace(settings, watermark=watermark)
-        query = finish(jobs.gold_query(cleaned_stream(spark, settings), DAILY, bounded))
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    expected = country_stats(valid_users(clean_users(raw, keep_envelope=True)), DAILY)
+def test_both_shapes_from_one_rollup(spark, users, settings):
+    parts = [some_users(users, 150, seed, first_offset=1000 * seed) for seed in range(2)]
+    for raw in parts:
+        send(raw, settings)
+        finish(jobs.gold_query(cleaned_stream(spark, settings), (DAILY, HOURLY), settings))
+    valid = valid_users(clean_users(parts[0].unionByName(parts[1]), keep_envelope=True))
+    for shape in (DAILY, HOURLY):
+        assert bag(current_gold(gold_log(spark, settings, shape), shape)) == bag(country_stats(valid, shape))
+
+
+def test_only_touched_windows_are_logged(spark, users, settings):
+    for day in (0, 1):
+        send(users({"kafka_timestamp": T0 + dt.timedelta(days=day), "offset": day}), settings)
+        finish(jobs.gold_query(cleaned_stream(spark, settings), DAILY, settings))
+    log = gold_log(spark, settings, DAILY)
+    assert sorted((r.batch_id, r.event_date) for r in log.collect()) == [(0, "2024-01-02"), (1, "2024-01-03")]
+
+
+def test_a_replayed_batch_changes_nothing_downstream(spark, users, settings):
+    raw = some_users(users, 200, 21)
+    send(raw, settings)
+    cleaned = clean_users(raw, keep_envelope=True)
+
+    def run():
+        for layers in (("bronze", "cleaned"), ("silver", "dlq", "latest", "daily")):
+            for query in jobs.run_layers(spark, settings, layers):
+                finish(query)
+
+    run()
+    # The batches of the followed tables lose their commits and are written again.
+    for name in ("bronze_writer", jobs.CLEANED):
+        remove_folder(spark, f"{settings.checkpoint_root}/{name}/commits")
+    run()
+
+    def count(name):
+        return read_table(spark, jobs.table_name(settings, name)).count()
+
+    assert count(jobs.CLEANED) == 200 and count("bronze_users") == 200
+    assert count("invalid_users_dlq") == invalid_users(cleaned).count()
+    assert count("silver_users") + (200 - count("silver_users")) == 200
+    expected = country_stats(valid_users(cleaned), DAILY)
     assert bag(current_gold(gold_log(spark, settings, DAILY), DAILY)) == bag(expected)
-    dedupe = [o for o in query.recentProgress[0].stateOperators if o.operatorName == "dedupe"]
-    assert len(dedupe) == 1
 
 
-def test_combining_keeps_every_user_and_the_newest_time():
-    import pyarrow as pa
+def test_layers_with_an_outward_format(spark, users, settings):
+    send(some_users(users, 50, 22), settings)
+    outward = replace(settings, outward_format="noop", outward_root="project.dataset")
+    for layers in (("bronze", "cleaned"), ("silver", "bronze_copy", "dlq", "latest", "gold")):
+        for query in jobs.run_layers(spark, outward, layers):
+            finish(query)
+            assert query.exception() is None
+    assert jobs.outward(outward, "t").name == "project.dataset.t"
 
-    from tierflow.streaming.stats import combiner
 
-    rng = random.Random(1)
-    rows = [
-        {"start": T0, "country_code": rng.choice(["TH", None]), "user_key": rng.choice(["a", "b", None]),
-         "kafka_timestamp": T0 + dt.timedelta(seconds=i)}
-        for i in range(1000)
-    ]
-    batches = [pa.RecordBatch.from_pylist(rows[i : i + 10]) for i in range(0, 1000, 10)]
-    out = [r for b in combiner()(iter(batches)) for r in b.to_pylist()]
-    assert len(out) <= 6 * 7  # six groups, seven chunks
+def test_layers_check_the_session(spark, settings, zone):
+    zone("Asia/Tokyo")
+    with pytest.raises(ValueError, match="UTC"):
+        jobs.run_layers(spark, settings, [])
+    zone("UTC")
+    with pytest.raises(ValueError, match="table_root"):
+        jobs.run_layers(spark, replace(settings, table_root=None), ["silver"])
+
+
+def test_await_any_returns_when_a_query_ends(spark, users, settings):
+    spark.streams.resetTerminated()
+    send(users({}), settings)
+    query = jobs.run_layers(spark, settings, ["bronze"])[0]
+    jobs.await_any(spark)
+    assert not query.isActive
+
+
+def test_derived_rows_are_published_once(spark, users, settings, tmp_path):
+    send(users({}, {"offset": 1}), settings)
+    topic = str(tmp_path / "derived")
 
-    def newest(found):
-        best = {}
-        for r in found:
-            key = (r["country_code"], r["user_key"])
-            best[key] = max(best.get(key, T0), r["kafka_timestamp"])
-        return best
+    def run():
+        finish(jobs.publish_query(cleaned_stream(spark, settings), "cleaned_topic", topic, settings))
 
-    assert newest(out) == newest(rows)
-    assert list(combiner()(iter([]))) == []
+    run()
+    remove_folder(spark, f"{settings.checkpoint_root}/cleaned_topic/commits")
+    run()
+    back = replace(settings, topic=topic)
+    finish(jobs.start(stream_messages(spark, back), "back", jobs.table_writer(jobs.target(settings, "back")), settings))
+    rows = read_table(spark, jobs.table_name(settings, "back")).collect()
+    assert len(rows) == 2 and b'"user_key":"1"' in bytes(rows[0]["value"])
 
 
 def test_approximate_stream_has_exact_counts_and_close_users(spark, users, settings):
@@ -180,9 +225,9 @@ def test_latest_users_stream_equals_batch(spark, users, settings):
         send(raw, settings)
         finish(jobs.latest_query(cleaned_stream(spark, settings), settings))
     log = read_table(spark, jobs.table_name(settings, "valid_users_table"))
-    newest = log.groupBy("user_key").agg(F.max_by(F.struct(*log.columns[1:-1]), "batch_id").alias("r"))
+    newest = current_latest_users(log)
     expected = latest_users(clean_users(inputs.as_instants(parts[0].unionByName(parts[1])), keep_envelope=True))
-    assert bag(newest.select("user_key", "r.*")) == bag(expected)
+    assert bag(newest) == bag(expected)
 
 
 def test_all_layers_from_one_topic(spark, users, settings):
@@ -294,4 +339,4 @@ def test_trigger_can_be_a_clock(spark, users, settings):
 
 def test_a_source_format_without_its_connector_says_so(spark, settings):
     with pytest.raises(AnalysisException):
-        stream_messages(spark, replace(settings, message_format="kafka"))
+        stream_messages(spark, replace(settings, message_format="kafka", bootstrap="broker:9092"))

@@ -2,7 +2,8 @@
 
 from tierflow.operators.bronze import recent, to_bronze
 from tierflow.operators.gold import DAILY, HOURLY, country_stats, current_gold, load_gold
-from tierflow.operators.latest import latest_users
+from tierflow.operators.latest import current_latest_users, latest_users
+from tierflow.operators.log import compact_log, current_rows
 from tierflow.operators.messages import decode_messages, encode_messages
 from tierflow.operators.quality import quality_summary, score_quality, split_by_quality
 from tierflow.operators.reconcile import missing_keys, reconcile_counts, report_delivery
@@ -15,8 +16,8 @@ from tierflow.streaming.jobs import await_any, run_layers
 from tierflow.streaming.stats import stream_country_stats
 
 __all__ = [
-    "DAILY", "HOURLY", "Settings", "await_any", "clean_users", "country_stats",
-    "create_session", "current_gold", "decode_messages", "encode_messages",
+    "DAILY", "HOURLY", "Settings", "await_any", "clean_users", "compact_log", "country_stats",
+    "create_session", "current_gold", "current_latest_users", "current_rows", "decode_messages", "encode_messages",
     "invalid_users", "latest_users", "list_relations", "list_streams", "load_gold",
     "missing_keys", "normalise_records", "quality_summary", "recent",
     "reconcile_counts", "register_relations", "report_delivery", "run_layers",

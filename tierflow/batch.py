@@ -21,22 +21,26 @@ from tierflow.operators.silver import valid_users
 from tierflow.schemas import BRONZE_SCHEMA
 from tierflow.session import work_dir
 from tierflow.settings import Settings
-from tierflow.sinks.tables import Target, replace_table, write_batch
+from tierflow.sinks.tables import Target, remove_folder, replace_table, write_batch
 from tierflow.sources.tables import read_table
 from tierflow.streaming.jobs import table_name
 from tierflow.streaming.writers import LOAD_ID
 
 
 def silver_batch(spark: SparkSession, settings: Settings, as_of: str, span: str = "1 HOURS") -> None:
-    """Score the bronze rows ingested in the ``span`` up to ``as_of`` and later.
+    """Score the bronze rows ingested in the ``span`` that ends at ``as_of``.
 
-    Complete and quarantined rows go to their own folders, ``is_complete=true``
-    and ``is_complete=false``, in one pass over bronze.
+    The span is open at its end, so adjoining runs share no row. The instant itself
+    names the run: other spellings of one time are the same run, and running it again
+    replaces all of its rows, also by none. Complete and quarantined rows go to their
+    own folders, ``is_complete=true`` and ``is_complete=false``, in one pass.
     """
     name = table_name(settings, "bronze_users")
     bronze = read_table(spark, name, settings.table_format, settings.table_options, BRONZE_SCHEMA)
-    chosen = recent(bronze, F.lit(as_of).cast("timestamp"), span)
-    load_id = int("".join(c for c in as_of if c.isdigit()))
+    load_id = spark.range(1).select(F.unix_micros(F.lit(as_of).try_cast("timestamp"))).first()[0]
+    if load_id is None:
+        raise ValueError(f"{as_of!r} is no time")
+    chosen = recent(bronze, F.timestamp_micros(F.lit(load_id)), span, until=True)
     target = Target(
         table_name(settings, "silver_batch"),
         settings.table_format,
@@ -44,7 +48,7 @@ def silver_batch(spark: SparkSession, settings: Settings, as_of: str, span: str
         ("is_complete", "event_date"),
         rebalance=True,
     )
-    write_batch(score_quality(chosen), target, load_id, key=LOAD_ID)
+    write_batch(score_quality(chosen), target, load_id, key=LOAD_ID, replace=True)
 
 
 def gold_batch(
@@ -62,3 +66,4 @@ def gold_batch(
         rollup = hourly if shape.size == HOURLY.size else coarsen_rollup(hourly, shape.size)
         target = Target(table_name(settings, shape.name), settings.table_format, settings.table_options)
         replace_table(stats_from_rollup(rollup, shape), target)
+    remove_folder(spark, path)

@@ -20,10 +20,27 @@ def to_bronze(decoded: DataFrame, batch_id: int | str, ingested_at: Column | Non
     )
 
 
-def recent(bronze: DataFrame, as_of: Column | None = None, span: str = "1 HOURS") -> DataFrame:
-    """Rows ingested no earlier than ``span`` before ``as_of`` (default: now).
+#: Folder level of stored bronze rows: the UTC day they were ingested on.
+INGEST_DATE = "ingest_date"
 
-    The bound folds to a literal, so it reaches the scan as a pushed filter.
+
+def recent(
+    bronze: DataFrame, as_of: Column | None = None, span: str = "1 HOURS", until: bool = False
+) -> DataFrame:
+    """Rows ingested no earlier than ``span`` before ``as_of`` (default: now) and, with
+    ``until``, before ``as_of``: adjoining spans then share no row.
+
+    The bounds fold to literals, so they reach the scan as pushed filters. A stored
+    table is pruned by its days of ingestion as well.
     """
     now = F.current_timestamp() if as_of is None else as_of
-    return bronze.filter(F.col("ingested_at") >= now - F.expr(f"INTERVAL {span}"))
+    start = now - F.expr(f"INTERVAL {span}")
+    chosen = bronze.filter(F.col("ingested_at") >= start)
+    if until:
+        chosen = chosen.filter(F.col("ingested_at") < now)
+    if INGEST_DATE in bronze.columns:
+        day = F.col(INGEST_DATE)
+        chosen = chosen.filter(day >= start.cast("date"))
+        if until:
+            chosen = chosen.filter(day <= now.cast("date"))
+    return chosen

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierflow.functions.times import day_label, hour_label
+from tierflow.operators.log import current_rows
 from tierflow.operators.messages import decode_values
 from tierflow.schemas import DAILY_MESSAGE_SCHEMA, HOURLY_MESSAGE_SCHEMA
 
@@ -143,8 +144,4 @@ def current_gold(changelog: DataFrame, shape: GoldShape) -> DataFrame:
     Versions order by (batch_id, last_updated): a late record changes counts
     without raising ``last_updated``.
     """
-    values = [c for c in changelog.columns if c not in (*shape.keys, "batch_id")]
-    order = F.struct(F.col("batch_id").cast("long"), F.col("last_updated"))
-    newest = changelog.groupBy(*shape.keys).agg(F.max_by(F.struct(*values), order).alias("row"))
-    picked = [c if c in shape.keys else f"row.{c}" for c in changelog.columns if c != "batch_id"]
-    return newest.select(*picked)
+    return current_rows(changelog, shape.keys, ["last_updated"])

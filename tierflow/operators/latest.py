@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.operators.log import current_rows
 from tierflow.operators.silver import valid_users
 
 # Output name -> cleaned column.
@@ -30,7 +31,7 @@ def latest_users(cleaned: DataFrame, ignore_nulls: bool = True) -> DataFrame:
     partition. With ``ignore_nulls`` each column takes its newest non-null value,
     else all columns come from the newest row. ``max_by`` combines on the map
     side, so a key that holds a large share of the rows reaches its reducer as
-    one partial row per map task.
+    one partial row per map task. Rows without a key belong to no user.
     """
     order = F.struct("kafka_timestamp", "partition", "offset")
     whole = _NEVER_NULL if ignore_nulls else tuple(_COLUMNS)
@@ -43,6 +44,7 @@ def latest_users(cleaned: DataFrame, ignore_nulls: bool = True) -> DataFrame:
     row = F.struct(*(F.col(_COLUMNS[name]).alias(name) for name in whole))
     found = (
         valid_users(cleaned)
+        .filter(F.col("user_key").isNotNull())
         .groupBy("user_key")
         .agg(
             F.max_by(row, order).alias("row"),
@@ -52,3 +54,8 @@ def latest_users(cleaned: DataFrame, ignore_nulls: bool = True) -> DataFrame:
     )
     picked = [F.col(f"row.{name}" if name in whole else name).alias(name) for name in _COLUMNS]
     return found.select("user_key", *picked, "record_count")
+
+
+def current_latest_users(log: DataFrame) -> DataFrame:
+    """One row per user from the update log that the streaming query leaves."""
+    return current_rows(log, ["user_key"])

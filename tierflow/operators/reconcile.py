@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
-# Fixed value: the text of the mismatch warning.
-MISMATCH = "Delivery mismatch expected=%s , sent = %s"
+MISMATCH = "Delivery mismatch: %s records expected, %s sent"
 
 
 def _tagged(expected: DataFrame, sent: DataFrame, *keys: str) -> DataFrame:

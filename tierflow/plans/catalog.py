@@ -5,13 +5,15 @@ the moment of processing are left out."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.batch import silver_batch
 from tierflow.functions.keys import record_hash
 from tierflow.functions.times import utc_ntz
-from tierflow.operators.bronze import recent, to_bronze
+from tierflow.operators.bronze import INGEST_DATE, recent, to_bronze
 from tierflow.operators.gold import (
     DAILY,
     HOURLY,
@@ -23,7 +25,8 @@ from tierflow.operators.gold import (
     stats_from_rollup,
     user_rollup,
 )
-from tierflow.operators.latest import latest_users
+from tierflow.operators.latest import current_latest_users, latest_users
+from tierflow.operators.log import compact_log
 from tierflow.operators.messages import decode_messages, encode_gold, encode_messages
 from tierflow.operators.quality import (
     flag_quality,
@@ -38,9 +41,14 @@ from tierflow.plans import inputs
 from tierflow.schemas import BRONZE_SCHEMA, SILVER_SCHEMA, USER_SCHEMA
 from tierflow.session import work_dir
 from tierflow.settings import Settings
-from tierflow.sources.relations import relations
+from tierflow.sinks.messages import send_records
+from tierflow.sinks.tables import append_table, remove_folder
+from tierflow.sources.messages import stream_messages
+from tierflow.sources.records import read_records
+from tierflow.sources.relations import relation_sizes
 from tierflow.sources.tables import read_table
 from tierflow.streaming import jobs
+from tierflow.streaming.writers import table_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,14 +299,51 @@ def _undelivered_keys(spark, sf_dir):
 @query("relation_sizes")
 def _relation_sizes(spark, sf_dir):
     """Rows per named relation."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("relation"), "n_rows")
-        for name, df in relations(_raw(spark, sf_dir)).items()
-    ]
-    total = counted[0]
-    for df in counted[1:]:
-        total = total.unionByName(df)
-    return total
+    return relation_sizes(_raw(spark, sf_dir))
+
+
+@query("reconcile_delivered")
+def _reconciled_delivery(spark, sf_dir):
+    """Every record becomes a message and comes out again."""
+    raw = _raw(spark, sf_dir)
+    return reconcile_counts(raw, decode_messages(inputs.envelopes(raw)))
+
+
+@query("record_files")
+def _record_files(spark, sf_dir):
+    """Response bodies as JSON files of up to a thousand records, read back."""
+    path = work_dir(spark, "bodies")
+    records = inputs.api_records(inputs.events(spark, sf_dir), body="event_id div 1000")
+    fields = F.struct(*(c for c in records.columns if c != "body"))
+    listed = records.groupBy("body").agg(F.to_json(F.collect_list(fields)).alias("value"))
+    listed.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_records(spark, path).drop("fetched_at")
+
+
+@query("sent_messages")
+def _sent_messages(spark, sf_dir):
+    """Records sent to a topic and read back from it as a stream."""
+    settings = _fresh(spark, "topic")
+    settings = replace(settings, message_format="parquet", topic=f"{settings.table_root}/topic")
+    send_records(_raw(spark, sf_dir).select(*USER_SCHEMA.fieldNames()), settings)
+    decoded = decode_messages(stream_messages(spark, settings, starting="earliest"))
+    name = "read_back"
+    _finished(jobs.start(decoded, name, table_writer(jobs.target(settings, name)), settings))
+    return read_table(spark, jobs.table_name(settings, name)).select(*USER_SCHEMA.fieldNames())
+
+
+@query("silver_batch_runs")
+def _silver_batch_runs(spark, sf_dir):
+    """Two adjoining spans, the first of them run twice."""
+    settings = _fresh(spark, "silver_batch")
+    raw = inputs.as_instants(_raw(spark, sf_dir))
+    bronze = to_bronze(raw, 0, ingested_at=F.col("kafka_timestamp"))
+    stamped = bronze.withColumn(INGEST_DATE, F.to_date("ingested_at"))
+    append_table(stamped, jobs.target(settings, jobs.BRONZE, INGEST_DATE))
+    for as_of in ("2024-01-15 12:00:00", "2024-01-16T12:00:00Z", "2024-01-15T12:00:00.000+00:00"):
+        silver_batch(spark, settings, as_of, "24 HOURS")
+    table = read_table(spark, jobs.table_name(settings, "silver_batch"), schema=SILVER_SCHEMA)
+    return table.select("offset", "data_quality_score", "is_complete", "record_hash")
 
 
 # Streams: run over the whole input until it is used up, then read the tables
@@ -319,7 +364,6 @@ def _fresh(spark: SparkSession, name: str) -> Settings:
         table_root=f"{root}/tables",
         checkpoint_root=f"{root}/checkpoints",
         trigger={"availableNow": True},
-        max_files=1000,
     )
 
 
@@ -347,14 +391,64 @@ def _stream_hourly_country_stats(spark, sf_dir):
     return _stream_gold(spark, sf_dir, HOURLY)
 
 
-@query("stream_latest_users")
-def _stream_latest_users(spark, sf_dir):
+@query("stream_gold_both")
+def _stream_gold_both(spark, sf_dir):
+    """Both gold tables from one rollup; the hourly one."""
+    settings = _fresh(spark, "gold")
+    _finished(jobs.cleaned_query(_decoded_stream(spark, sf_dir, INPUT_FIELDS), settings))
+    cleaned = jobs.follow(spark, settings, jobs.CLEANED)
+    _finished(jobs.gold_query(cleaned, (DAILY, HOURLY), settings))
+    return current_gold(read_table(spark, jobs.table_name(settings, HOURLY.name)), HOURLY)
+
+
+@query("stream_replay_gold")
+def _stream_replay_gold(spark, sf_dir):
+    """The cleaned table and gold after both lost the commit of their batch, so that
+    each wrote it a second time."""
+    settings = _fresh(spark, "replay")
+
+    def run() -> None:
+        _finished(jobs.cleaned_query(_decoded_stream(spark, sf_dir, INPUT_FIELDS), settings))
+        _finished(jobs.gold_query(jobs.follow(spark, settings, jobs.CLEANED), DAILY, settings))
+
+    run()
+    for name in (jobs.CLEANED, DAILY.name):
+        remove_folder(spark, f"{settings.checkpoint_root}/{name}/commits")
+    run()
+    return current_gold(read_table(spark, jobs.table_name(settings, DAILY.name)), DAILY)
+
+
+@query("stream_gold_messages")
+def _stream_gold_messages(spark, sf_dir):
+    """Gold published as messages and loaded from the topic."""
+    settings = _fresh(spark, "gold_messages")
+    settings = replace(settings, message_format="parquet", topic=f"{settings.table_root}/topic")
+    _finished(jobs.cleaned_query(_decoded_stream(spark, sf_dir, INPUT_FIELDS), settings))
+    cleaned = jobs.follow(spark, settings, jobs.CLEANED)
+    _finished(jobs.gold_query(cleaned, DAILY, settings, topic=settings.topic))
+    _finished(jobs.gold_loader(stream_messages(spark, settings, starting="earliest"), DAILY, settings))
+    loaded = read_table(spark, jobs.table_name(settings, f"{DAILY.name}_loader")).drop("ingested_at", "batch_id")
+    return loaded.withColumn("last_updated_timestamp", utc_ntz(F.col("last_updated_timestamp")))
+
+
+def _latest_log(spark: SparkSession, sf_dir: str) -> tuple[Settings, DataFrame]:
     settings = _fresh(spark, "valid_users_table")
     _finished(jobs.latest_query(_cleaned_stream(spark, sf_dir), settings))
-    log = read_table(spark, jobs.table_name(settings, "valid_users_table"))
-    values = [c for c in log.columns if c not in ("user_key", "batch_id")]
-    newest = log.groupBy("user_key").agg(F.max_by(F.struct(*values), "batch_id").alias("row"))
-    return _plain(newest.select("user_key", "row.*"), "last_seen")
+    return settings, read_table(spark, jobs.table_name(settings, "valid_users_table"))
+
+
+@query("stream_latest_users")
+def _stream_latest_users(spark, sf_dir):
+    return _plain(current_latest_users(_latest_log(spark, sf_dir)[1]), "last_seen")
+
+
+@query("compacted_latest_users")
+def _compacted_latest_users(spark, sf_dir):
+    settings, log = _latest_log(spark, sf_dir)
+    newest = jobs.target(settings, "valid_users_compacted")
+    through = log.agg(F.max("batch_id")).first()[0] or 0
+    compact_log(log, newest, ["user_key"], through)
+    return _plain(current_latest_users(read_table(spark, newest.name)), "last_seen")
 
 
 @query("stream_dead_letters")

@@ -18,7 +18,7 @@ _UID = "CAST(user_id AS STRING)"
 USER_EXPRESSIONS = {
     "user_id": f"CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 23 = 0 THEN '' ELSE {_UID} END",
     "username": f"concat('user', {_UID})",
-    "uuid": f"concat('u-', {_UID})",
+    "uuid": f"CASE WHEN event_id % 29 <> 0 THEN concat('u-', {_UID}) END",
     "email": (
         "CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'broken@' "
         f"WHEN 2 THEN concat(' USER', {_UID}, '@Example.COM ') "
@@ -79,8 +79,8 @@ def raw_users(events_df: DataFrame) -> DataFrame:
     return _select(events_df, {**USER_EXPRESSIONS, **ENVELOPE_EXPRESSIONS})
 
 
-def api_records(events_df: DataFrame) -> DataFrame:
-    return _select(events_df, API_EXPRESSIONS)
+def api_records(events_df: DataFrame, **more: str) -> DataFrame:
+    return _select(events_df, {**API_EXPRESSIONS, **more})
 
 
 def as_instants(raw: DataFrame) -> DataFrame:

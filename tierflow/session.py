@@ -46,3 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+
+
+def check_session(spark: SparkSession) -> None:
+    """Fail on a session whose settings would change results or lose state quietly."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"event dates are UTC days, but the session is in {zone}; use create_session")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != DEFAULTS[key]:
+        raise ValueError(f"set {key} to {DEFAULTS[key]}: state must not live on the heap; use create_session")

@@ -9,19 +9,27 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Settings:
-    bootstrap: str = "kafka:29092"
+    #: Brokers; needed by the ``kafka`` message format only.
+    bootstrap: str | None = None
     topic: str = "Raw_Data"
     message_format: str = "kafka"
     message_options: Mapping[str, str] = field(default_factory=dict)
     table_format: str = "parquet"
     table_options: Mapping[str, str] = field(default_factory=dict)
-    #: Root folder of file tables, or ``project.dataset`` of a warehouse.
-    table_root: str = "tables"
+    #: Root folder of the layer tables, one that all executors share. The layers
+    #: follow each other's tables, so these are files.
+    table_root: str | None = None
+    #: Format, options and root (such as ``project.dataset``) of the tables handed
+    #: outward: silver, quarantine, dead letters, latest users and gold. Layer
+    #: tables unless given.
+    outward_format: str | None = None
+    outward_options: Mapping[str, str] = field(default_factory=dict)
+    outward_root: str | None = None
     #: Shared folder for checkpoints; each query takes its own folder below it.
     checkpoint_root: str | None = None
     trigger: Mapping[str, object] = field(default_factory=lambda: {"processingTime": "1 minute"})
-    #: Files a query that follows a table takes per micro-batch.
-    max_files: int = 10
+    #: Files a query that follows a table takes per micro-batch; no bound unless set.
+    max_files: int | None = None
     #: Bound on lateness in gold; ``None`` accepts all late rows and keeps all state.
     watermark: str | None = None
 

@@ -26,6 +26,8 @@ class Target:
     #: leave one file per task and partition. Adaptive execution splits a
     #: partition that holds most of the rows over several tasks.
     rebalance: bool = False
+    #: Name of a folder level above the batches, such as the day of the load.
+    stamp: str | None = None
 
     @property
     def is_files(self) -> bool:
@@ -63,19 +65,68 @@ def ensure_table(spark: SparkSession, target: Target, schema: StructType) -> Non
         _save(_writer(empty, target, "ignore", target.partition_by), target)
 
 
-def write_batch(df: DataFrame, target: Target, batch_id: int, key: str = "batch_id") -> None:
-    """Write one micro-batch so that writing it again changes nothing.
+STAGED = "_staged"
 
-    File tables are partitioned by ``key`` first and only the partitions present
-    in ``df`` are replaced. A connector has no such handle: it gets an append,
-    and an empty batch is not sent.
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system and path objects."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, place = _folder(spark, path)
+    fs.delete(place, True)
+
+
+def _published(spark: SparkSession, target: Target, key: str, batch_id: int | str) -> list:
+    fs, pattern = _folder(spark, f"{target.name}/{target.stamp + '=*/' if target.stamp else ''}{key}={batch_id}")
+    return [found.getPath() for found in fs.globStatus(pattern) or ()]
+
+
+def is_published(spark: SparkSession, target: Target, batch_id: int | str, key: str = "batch_id") -> bool:
+    """Whether a file table holds this batch already. Connectors cannot tell."""
+    return target.is_files and bool(_published(spark, target, key, batch_id))
+
+
+def write_batch(
+    df: DataFrame,
+    target: Target,
+    batch_id: int | str,
+    key: str = "batch_id",
+    stamp: str | None = None,
+    replace: bool = False,
+    filled: bool = False,
+) -> None:
+    """Write one batch so that writing it again changes nothing, here or in whatever
+    follows the table.
+
+    A file table gets the batch as one folder ``key=batch_id``: the files are written
+    aside and the folder is moved into place by one rename, so followers see all of it
+    or nothing. A batch that is in place already is left alone, with the names its
+    followers know; ``replace`` puts the new rows in its place instead, also if there
+    are none. (Object stores without an atomic rename need a table format of their
+    own.) ``stamp`` is the value of the folder level above, if the target has one.
+    A connector has no such handle: it gets an append, and an empty batch is not sent.
+    ``filled`` says that the caller knows of rows; the test for rows is an action of
+    its own, and an observed frame counts its first action only.
     """
     if not target.is_files:
-        if not df.isEmpty():
+        if filled or not df.isEmpty():
             append_table(df, target)
         return
-    if key not in df.columns:
-        df = df.withColumn(key, F.lit(batch_id).cast("long"))
-    keys = (key, *(c for c in target.partition_by if c != key))
-    writer = _writer(df, target, "overwrite", keys)
-    writer.option("partitionOverwriteMode", "dynamic").save(target.name)
+    spark = df.sparkSession
+    before = _published(spark, target, key, batch_id)
+    if before and not replace:
+        return
+    level = f"{target.stamp}={stamp}/" if target.stamp else ""
+    fs, staged = _folder(spark, f"{target.name}/{STAGED}/{key}={batch_id}")
+    rows = df.drop(*{key, target.stamp} & set(df.columns))
+    below = tuple(c for c in target.partition_by if c != key)
+    _writer(rows, target, "overwrite", below).save(staged.toString())
+    for old in before:
+        fs.delete(old, True)
+    _, place = _folder(spark, f"{target.name}/{level}{key}={batch_id}")
+    fs.mkdirs(place.getParent())
+    if not fs.rename(staged, place):
+        raise OSError(f"could not move {staged.toString()} to {place.toString()}")

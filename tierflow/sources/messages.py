@@ -11,6 +11,8 @@ from tierflow.settings import Settings
 
 
 def kafka_options(settings: Settings, topic: str, starting: str) -> dict[str, str]:
+    if not settings.bootstrap:
+        raise ValueError("set bootstrap to the brokers of the message system")
     return {
         "kafka.bootstrap.servers": settings.bootstrap,
         "subscribe": topic,
@@ -38,5 +40,6 @@ def stream_messages(
 def stream_files(
     spark: SparkSession, path: str, fmt: str, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(ENVELOPE_SCHEMA).options(**(options or {}))
-    return reader.load(path)
+    """Envelope rows of all files below a folder, whatever folders batches add."""
+    reader = spark.readStream.format(fmt).schema(ENVELOPE_SCHEMA)
+    return reader.option("recursiveFileLookup", True).options(**(options or {})).load(path)

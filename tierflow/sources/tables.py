@@ -27,10 +27,10 @@ def stream_table(
     schema: StructType,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
-    max_files: int = 10,
+    max_files: int | None = None,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """New files of a table, at most ``max_files`` per micro-batch.
+    """New files of a table, all or at most ``max_files`` per micro-batch.
 
     Name the partition columns in folder order: Spark reads them after the others
     and matches a stream's columns by position, so a stream that starts before
@@ -39,5 +39,6 @@ def stream_table(
     fields = [f for f in schema.fields if f.name not in partition_by]
     fields += [schema[name] for name in partition_by]
     reader = spark.readStream.format(fmt).schema(StructType(fields))
-    reader = reader.option("maxFilesPerTrigger", max_files).options(**(options or {}))
-    return reader.load(name).select(*schema.fieldNames())
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.options(**(options or {})).load(name).select(*schema.fieldNames())

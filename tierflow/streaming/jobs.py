@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
+from tierflow.operators.bronze import INGEST_DATE
 from tierflow.operators.gold import DAILY, HOURLY, GoldShape, load_gold
 from tierflow.operators.latest import latest_users
-from tierflow.operators.messages import decode_messages
+from tierflow.operators.messages import decode_messages, encode_gold, encode_messages
 from tierflow.operators.quality import score_quality
 from tierflow.operators.silver import (
     ENVELOPE,
@@ -20,13 +22,15 @@ from tierflow.operators.silver import (
     valid_users,
 )
 from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA
-from tierflow.session import shared_dir
+from tierflow.session import check_session, shared_dir
 from tierflow.settings import Settings
+from tierflow.sinks.messages import send_messages
 from tierflow.sinks.tables import Target, ensure_table
 from tierflow.sources.messages import stream_messages
 from tierflow.sources.tables import stream_table
+from tierflow.streaming.gold import gold_writer
 from tierflow.streaming.stats import OUTPUT_MODES, stream_country_stats
-from tierflow.streaming.writers import BatchWriter, bronze_writer, silver_writer, table_writer
+from tierflow.streaming.writers import LOAD_ID, BatchWriter, bronze_writer, silver_writer, table_writer
 
 #: Tables that later layers follow: their schema, and what partitions them below
 #: the batch id. Gold and dead letters each read their own half of the cleaned rows.
@@ -37,9 +41,14 @@ FOLLOWED = {
 }
 
 
+def _named(root: str | None, name: str, fmt: str) -> str:
+    if not root:
+        raise ValueError("set table_root to a folder that all executors share")
+    return f"{root}{'/' if Target(name, fmt).is_files else '.'}{name}"
+
+
 def table_name(settings: Settings, name: str) -> str:
-    target = Target(name, settings.table_format)
-    return f"{settings.table_root}{'/' if target.is_files else '.'}{name}"
+    return _named(settings.table_root, name, settings.table_format)
 
 
 def target(settings: Settings, name: str, *partition_by: str) -> Target:
@@ -51,6 +60,14 @@ def target(settings: Settings, name: str, *partition_by: str) -> Target:
     )
 
 
+def outward(settings: Settings, name: str, *partition_by: str) -> Target:
+    """A table that nothing here follows: in the warehouse, if one is set."""
+    if settings.outward_format is None:
+        return target(settings, name, *partition_by)
+    where = _named(settings.outward_root or settings.table_root, name, settings.outward_format)
+    return Target(where, settings.outward_format, settings.outward_options, partition_by)
+
+
 def start(
     df: DataFrame, name: str, write: BatchWriter, settings: Settings, mode: str = "append"
 ) -> StreamingQuery:
@@ -66,14 +83,20 @@ def start(
 
 
 def bronze_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
-    writer = bronze_writer(target(settings, BRONZE, *FOLLOWED[BRONZE][1]))
-    return start(decoded, "bronze_writer", writer, settings)
+    table = replace(target(settings, BRONZE, *FOLLOWED[BRONZE][1]), stamp=INGEST_DATE)
+    return start(decoded, "bronze_writer", bronze_writer(table), settings)
+
+
+def bronze_copy(bronze: DataFrame, settings: Settings) -> StreamingQuery:
+    """Bronze rows to the outward tables as well."""
+    writer = table_writer(outward(settings, "bronze_users_copy", "event_date"), key=LOAD_ID)
+    return start(bronze, "bronze_copy", writer, settings)
 
 
 def silver_query(bronze: DataFrame, settings: Settings) -> StreamingQuery:
     writer = silver_writer(
-        target(settings, "silver_users", "event_date"),
-        target(settings, "silver_quarantine", "event_date"),
+        outward(settings, "silver_users", "event_date"),
+        outward(settings, "silver_quarantine", "event_date"),
     )
     return start(score_quality(bronze), "silver_transformer", writer, settings)
 
@@ -86,24 +109,52 @@ def cleaned_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
 
 
 def dlq_query(cleaned: DataFrame, settings: Settings) -> StreamingQuery:
-    writer = table_writer(target(settings, "invalid_users_dlq"))
+    writer = table_writer(outward(settings, "invalid_users_dlq"))
     rejected = invalid_users(cleaned.drop(*ENVELOPE))
     return start(rejected, "invalid_users_dlq", writer, settings)
 
 
 def latest_query(cleaned: DataFrame, settings: Settings) -> StreamingQuery:
     """Update log of the newest values per user."""
-    writer = table_writer(target(settings, "valid_users_table"))
+    writer = table_writer(outward(settings, "valid_users_table"))
     return start(latest_users(cleaned), "valid_users_table", writer, settings, "update")
 
 
 def gold_query(
-    cleaned: DataFrame, shape: GoldShape, settings: Settings, distinct: str = "exact"
+    cleaned: DataFrame,
+    shape: GoldShape | Iterable[GoldShape],
+    settings: Settings,
+    distinct: str = "exact",
+    topic: str | None = None,
 ) -> StreamingQuery:
-    """Update log of one gold table (final rows only for ``closed``)."""
-    stats = stream_country_stats(valid_users(cleaned), shape, distinct, settings.watermark)
-    writer = table_writer(target(settings, shape.name))
-    return start(stats, shape.name, writer, settings, OUTPUT_MODES[distinct])
+    """Update log of one gold table (final rows only for ``closed``), or of several
+    from one rollup. With ``topic`` the changed rows are published as messages too."""
+    valid = valid_users(cleaned)
+    if distinct != "exact":
+        stats = stream_country_stats(valid, shape, distinct, settings.watermark)
+        return start(stats, shape.name, table_writer(outward(settings, shape.name)), settings, OUTPUT_MODES[distinct])
+    shapes = (shape,) if isinstance(shape, GoldShape) else tuple(shape)
+    name = shapes[0].name if len(shapes) == 1 else "gold_country_stats"
+
+    def publish(rows: DataFrame, batch_id: int, of: GoldShape) -> None:
+        send_messages(encode_gold(rows), settings, topic if len(shapes) == 1 else f"{topic}_{of.name}", batch_id)
+
+    writer = gold_writer(
+        target(settings, f"{name}_rollup", "day"),
+        [(each, outward(settings, each.name)) for each in shapes],
+        settings.watermark,
+        publish if topic else None,
+    )
+    return start(valid, name, writer, settings)
+
+
+def publish_query(rows: DataFrame, name: str, topic: str, settings: Settings) -> StreamingQuery:
+    """A derived stream as keyed messages, for consumers outside."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        send_messages(encode_messages(df), settings, topic, batch_id)
+
+    return start(rows, name, write, settings)
 
 
 def gold_loader(
@@ -111,7 +162,7 @@ def gold_loader(
 ) -> StreamingQuery:
     """Gold messages to a warehouse table."""
     name = f"{shape.name}_loader"
-    writer = table_writer(target(settings, name), sample=sample)
+    writer = table_writer(outward(settings, name), sample=sample)
     return start(load_gold(envelopes, shape), name, writer, settings)
 
 
@@ -120,7 +171,9 @@ def _layout(name: str) -> tuple[StructType, tuple[str, ...]]:
     schema, below = FOLLOWED[name]
     if "batch_id" not in schema.fieldNames():
         schema = StructType([*schema.fields, StructField("batch_id", LongType())])
-    return schema, ("batch_id", *below)
+    above = (INGEST_DATE,) if name == BRONZE else ()
+    schema = StructType([*schema.fields, *(StructField(level, DateType()) for level in above)])
+    return schema, (*above, "batch_id", *below)
 
 
 def follow(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
@@ -149,7 +202,8 @@ def run_layers(
 
     Two queries read the topic: bronze keeps all user fields, the cleaned stream
     asks the parser only for what the strict policy uses. Silver follows the
-    bronze table, the others follow the cleaned table.
+    bronze table, the others follow the cleaned table. ``gold`` builds both gold
+    tables from one rollup, instead of ``daily`` and ``hourly``.
     """
 
     def bronze() -> StreamingQuery:
@@ -159,7 +213,9 @@ def run_layers(
         messages = stream_messages(spark, settings, starting="earliest")
         return cleaned_query(decode_messages(messages, INPUT_FIELDS), settings)
 
-    followed = {"silver": BRONZE, "dlq": CLEANED, "latest": CLEANED, "daily": CLEANED, "hourly": CLEANED}
+    check_session(spark)
+    followed = {"silver": BRONZE, "bronze_copy": BRONZE}
+    followed |= dict.fromkeys(("dlq", "latest", "daily", "hourly", "gold"), CLEANED)
     chosen = list(layers)
     # All tables exist before any query writes to one.
     rows = {layer: follow(spark, settings, followed[layer]) for layer in chosen if layer in followed}
@@ -169,6 +225,8 @@ def run_layers(
         "silver": lambda: silver_query(rows["silver"], settings),
         "dlq": lambda: dlq_query(rows["dlq"], settings),
         "latest": lambda: latest_query(rows["latest"], settings),
+        "bronze_copy": lambda: bronze_copy(rows["bronze_copy"], settings),
+        "gold": lambda: gold_query(rows["gold"], (DAILY, HOURLY), settings),
         "daily": lambda: gold_query(rows["daily"], DAILY, settings),
         "hourly": lambda: gold_query(rows["hourly"], HOURLY, settings),
     }

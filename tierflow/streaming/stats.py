@@ -1,43 +1,33 @@
-"""Gold statistics as continuous queries."""
+"""Gold statistics as stateful streaming aggregates. Exact statistics that emit
+every change are in :mod:`tierflow.streaming.gold`."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from itertools import islice
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.operators.gold import GoldShape, shaped, stats_from_rollup, user_rollup
 
 #: Output mode of each way to count distinct users.
-OUTPUT_MODES = {"exact": "update", "approx": "update", "closed": "append"}
-
-SEEN = ["kafka_timestamp", "country_code", "user_key"]
+OUTPUT_MODES = {"approx": "update", "closed": "append"}
 
 
 def stream_country_stats(
     users: DataFrame,
     shape: GoldShape,
-    distinct: str = "exact",
+    distinct: str = "approx",
     watermark: str | None = None,
 ) -> DataFrame:
     """Statistics of valid users (a stream with envelope columns).
 
     ``distinct`` picks how users are counted:
 
-    * ``exact`` - every change is emitted and the count is exact. The first
-      sight of a user in a (window, country) is found by deduplication, one
-      state row per user, and added up beside the row counts.
     * ``approx`` - every change is emitted; the count is a sketch of fixed size.
     * ``closed`` - exact, one final row per window once the watermark passes it.
 
     ``watermark`` bounds lateness and lets state be dropped; without one every
     late row counts and state is kept for ever. ``closed`` needs it.
     """
-    if distinct == "exact":
-        return _exact(users, shape, watermark)
     users = _bounded(users, watermark)
     if distinct == "approx":
         return _approx(users, shape)
@@ -52,66 +42,11 @@ def _bounded(users: DataFrame, watermark: str | None) -> DataFrame:
     return users if watermark is None else users.withWatermark("kafka_timestamp", watermark)
 
 
-def combiner(chunk: int = 16) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Keep the newest message time per (window, country, user), ``chunk`` Arrow
-    batches at a time, so memory stays bounded whatever the task reads. (A
-    closure travels to the executors by value, a module function would not.)"""
-
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        while some := list(islice(batches, chunk)):
-            groups = pa.Table.from_batches(some).group_by(["start", "country_code", "user_key"])
-            newest = groups.aggregate([("kafka_timestamp", "max")])
-            columns = ("kafka_timestamp_max", "country_code", "user_key")
-            yield from newest.select(columns).rename_columns(SEEN).to_batches()
-
-    return combine
-
-
-def _seen_users(users: DataFrame, shape: GoldShape) -> DataFrame:
-    """Users per window and country with repeats removed inside each task.
-
-    Stream deduplication has no map-side combine, so a user with a third of all
-    rows would send them all to one task. This leaves a row per few batches.
-    """
-    rows = users.select(
-        F.window("kafka_timestamp", shape.size)["start"].alias("start"),
-        "country_code", "user_key", "kafka_timestamp",
-    )
-    types = zip(SEEN, ("timestamp", "string", "string"))
-    return rows.mapInArrow(combiner(), ", ".join(f"{name} {kind}" for name, kind in types))
-
-
-def _exact(users: DataFrame, shape: GoldShape, watermark: str | None) -> DataFrame:
-    def windowed(rows: DataFrame) -> DataFrame:
-        rows = _bounded(rows, watermark)
-        return rows.withColumn("window", F.window("kafka_timestamp", shape.size))
-
-    none = F.lit(None)
-    rows = windowed(users).select(
-        "window", "country_code", "age_validated", "processed_at",
-        F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("first"),
-    )
-    # A null key is no user but still passes here, so that both branches see the
-    # same message times and move the watermark together.
-    firsts = windowed(_seen_users(users, shape)).dropDuplicates(["window", "country_code", "user_key"])
-    firsts = firsts.select(
-        "window", "country_code",
-        none.cast("int").alias("age_validated"), none.cast("long").alias("processed_at"),
-        F.lit(0).cast("long").alias("n"),
-        F.col("user_key").isNotNull().cast("long").alias("first"),
-    )
-    return _stats(rows.unionByName(firsts), shape, F.sum("n"), F.sum("first"))
-
-
 def _approx(users: DataFrame, shape: GoldShape) -> DataFrame:
     windowed = users.withColumn("window", F.window("kafka_timestamp", shape.size))
-    return _stats(windowed, shape, F.count(F.lit(1)), F.approx_count_distinct("user_key"))
-
-
-def _stats(windowed: DataFrame, shape: GoldShape, rows, users) -> DataFrame:
     stats = windowed.groupBy("window", "country_code").agg(
-        rows.alias(shape.rows),
-        users.alias(shape.users),
+        F.count(F.lit(1)).alias(shape.rows),
+        F.approx_count_distinct("user_key").alias(shape.users),
         F.round(F.avg("age_validated"), 1).alias(shape.avg_age),
         F.min("age_validated").alias("min_age"),
         F.max("age_validated").alias("max_age"),
