@@ -324,7 +324,10 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         texts.select("h1", "h2", "text"), find,
         "anchor long, context long, h1 long, h2 long, low int, high int, at int",
     )
+    # Stored before the join: between two exchanges adaptive execution can split the
+    # rows of an anchor that a large share of all texts holds.
     repeated = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    repeated = stored(repeated, "suffix-anchors")
     candidates = stored(every.join(repeated, "anchor"), "suffix-candidates")
     contexts = candidates.groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("h1", "h2", "low", "high", "at")).alias("one")
@@ -333,6 +336,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     # Contexts with equals repeat in full. Where contexts differ, one of each is cut out.
     full = contexts.filter("n > 1").select("anchor", "context", F.lit(0).alias("begin"), (F.col("one.high") - F.col("one.low")).alias("end"))
     kinds = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    kinds = stored(kinds, "suffix-kinds")
     differing = contexts.join(kinds, "anchor").select("anchor", "context", "kinds", "one.*")
 
     def cut(batch: pa.RecordBatch):
