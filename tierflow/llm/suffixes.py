@@ -37,7 +37,7 @@ ANCHOR = 32
 #: Contexts around one anchor that a task looks at together. Around a more common
 #: anchor every string is sorted.
 TOGETHER = 4096
-#: Suffixes of one sorted run, and of the sample that sets the ranges.
+#: Suffixes of one sorted run, and the expected size of the sample that sets the ranges.
 RUN, SAMPLE = 100_000, 4000
 
 _BASE = 0x9E3779B97F4A7C15
@@ -266,8 +266,8 @@ def shared_prefixes(suffixes: DataFrame, length: int = LENGTH) -> DataFrame:
     three key columns and ``suffix``."""
     spark = suffixes.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = suffixes.select("suffix", F.xxhash64("anchor", "context", "skip").alias("k")).orderBy("k").limit(SAMPLE)
-    seen = sorted({bytes(r[0]) for r in sample.select("suffix").collect()})
+    share = min(1.0, SAMPLE / max(1, suffixes.count()))
+    seen = sorted({bytes(r[0]) for r in suffixes.select("suffix").sample(share, seed=1).collect()})
     bounds = sorted({seen[len(seen) * i // ranges] for i in range(1, ranges)}) if seen else []
     shipped = stored(_runs(suffixes, bounds), "suffix-runs")
     settled = shipped.filter(F.col("part").isNull()).select("anchor", "context", "skip", "shared")
