@@ -204,14 +204,15 @@ def proposed_pairs(fps: DataFrame, reach: int = REACH) -> DataFrame:
     """(a, b): for each fingerprint, in each order, the nearest among those just before
     it, if ``reach`` bits or fewer apart. Pairs whose distances to the references
     differ by more are discarded before they are compared."""
-    references = np.array(_references(99, OVERALL), dtype=np.int64)
+    # Unsigned: numpy counts the bits of absolute values.
+    references = np.array(_references(99, OVERALL), dtype=np.int64).view(np.uint64)
 
     def look_back(batches):
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            order, fp = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            order, fp = batch.column(0).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
             fresh = 0
             if held is not None:
                 fresh = len(held[0])
@@ -227,7 +228,7 @@ def proposed_pairs(fps: DataFrame, reach: int = REACH) -> DataFrame:
             rows = np.repeat(np.arange(len(fp)), nearest.shape[1])
             columns = nearest.ravel()
             good = (distances[rows, columns] <= reach) & (rows >= fresh)
-            x, y = fp[rows[good]], fp[rows[good] - columns[good] - 1]
+            x, y = fp[rows[good]].view(np.int64), fp[rows[good] - columns[good] - 1].view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     orders = _sorted_orders(fps).repartitionByRange("order", "key").sortWithinPartitions("order", "key", "fp")
@@ -286,8 +287,9 @@ def keep_one_per_group(
     slim = stored(map_batches(slim, compute, f"node long, other long, id {kind}, fp long"), "near-rows")
     same = slim.groupBy("node", "other", "id").agg(F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"))
     classes = same.groupBy("node", "other").agg(
-        F.min("id").alias("id"), F.min_by("n", F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("n"), F.first("fp").alias("fp")
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least"), F.first("fp").alias("fp")
     )
+    classes = classes.select("node", "other", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "fp")
     classes = stored(classes, "near-classes")
 
     # Different texts with one fingerprint are compared with the first of them.
