@@ -221,6 +221,8 @@ class Labeller:
         self.sizes = np.concatenate([self.sizes, sizes])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        if not self.net.languages:
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         if len(self.known) > MEMORY:
             self._forget()
         split = [words_of(text) for text in texts]
@@ -229,7 +231,7 @@ class Labeller:
             self._meet(new)
         names, scores = [], []
         for text, words in zip(texts, split):
-            if not self.net.languages or not words or not has_letter(text):
+            if not words or not has_letter(text):
                 names.append(UNDETERMINED)
                 scores.append(0.0)
                 continue

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import discard, map_batches, map_groups, stored
 
 LENGTH = 200
-#: Bytes of a block that can be an anchor.
+#: Bytes of a block that can be an anchor, or half the length if that is less.
 ANCHOR = 32
 #: Contexts around one anchor that a task looks at together. Around a more common
 #: anchor every string is sorted.
@@ -61,10 +61,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def anchors(data: bytes, length: int = LENGTH, block: int = ANCHOR) -> tuple[np.ndarray, ...]:
+def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """(anchor hash, context hash, low, high, at): strings that start from ``low`` to
     ``high`` have the anchor at ``at``. The rightmost of equal blocks is taken."""
-    n = len(data)
+    n, block = len(data), min(ANCHOR, (length + 1) // 2)
     if n < length:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
     power, inverse = _powers(n + 1)
