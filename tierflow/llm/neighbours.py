@@ -15,6 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +26,9 @@ DEGREE = 24
 #: Random plane partitions that give the first lists, and vectors per part.
 STARTS, PART = 3, 192
 #: Rounds of descent at most; it ends earlier when few lists change.
-ROUNDS, CHANGED = 6, 0.02
+ROUNDS, CHANGED = 6, 0.05
 #: Best vectors that a search keeps and expands, and how many it expands at once.
-BEAM, STEP, WALKS = 320, 48, 20
+BEAM, STEP, WALKS = 320, 96, 16
 #: Partners proposed to each member of a neighbourhood per round.
 PROPOSED = 6
 
@@ -97,19 +98,27 @@ def _starts(nodes: DataFrame, width: int, count: int, scale: float) -> DataFrame
         yield _proposals(out)
 
     found = map_groups(dealt.select("part", "cut", "node", "packed"), ["part", "cut"], best, PROPOSAL)
-    return _merged(found)
+
+    def pack(batch: pa.RecordBatch):
+        values, _ = lists(batch.column(1))
+        none = [[] for _ in range(batch.num_rows)]
+        cells = _packed(values.reshape(batch.num_rows, -1), scale)
+        yield _proposals([batch.column(0).to_pylist(), none, none], cells)
+
+    return _merged(found.unionByName(map_batches(nodes, pack, PROPOSAL)))
 
 
-PROPOSAL = "node long, ids array<long>, scores array<float>, fresh boolean"
-LISTS = "node long, ids array<long>, scores array<float>, news array<boolean>"
+#: Proposals carry no vector; the one former list of each node does.
+PROPOSAL = "node long, ids array<long>, scores array<float>, packed binary"
+LISTS = "node long, ids array<long>, scores array<float>, news array<boolean>, packed binary"
 
 
-def _proposals(out: list[list], fresh: bool = True) -> pa.RecordBatch:
+def _proposals(out: list[list], packed: list[bytes] | None = None) -> pa.RecordBatch:
     columns = [
         pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())),
-        pa.array(out[2], pa.list_(pa.float32())), pa.array([fresh] * len(out[0]), pa.bool_()),
+        pa.array(out[2], pa.list_(pa.float32())), pa.array(packed or [None] * len(out[0]), pa.binary()),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["node", "ids", "scores", "fresh"])
+    return pa.RecordBatch.from_arrays(columns, names=["node", "ids", "scores", "packed"])
 
 
 def _merged(proposals: DataFrame) -> DataFrame:
@@ -120,7 +129,9 @@ def _merged(proposals: DataFrame) -> DataFrame:
         ids, starts = lists(rows.column("ids"))
         scores, _ = lists(rows.column("scores"))
         node = rows.column("node").to_numpy()
-        fresh = np.repeat(rows.column("fresh").to_numpy(zero_copy_only=False), np.diff(starts))
+        packed = rows.column("packed").combine_chunks()
+        former = packed.is_valid().to_numpy(zero_copy_only=False)
+        fresh = np.repeat(~former, np.diff(starts))
         row = np.repeat(np.arange(len(bounds) - 1), np.diff(starts[bounds]))
         # One entry per node and neighbour, the old one first.
         order = np.lexsort((fresh, ids, row))
@@ -135,28 +146,40 @@ def _merged(proposals: DataFrame) -> DataFrame:
         row, ids, scores, fresh = row[keep], ids[keep], scores[keep], fresh[keep]
         cuts = pa.array(np.searchsorted(row, np.arange(len(bounds))), pa.int32())
         arrays = [pa.ListArray.from_arrays(cuts, pa.array(v, t)) for v, t in ((ids, pa.int64()), (scores, pa.float32()), (fresh, pa.bool_()))]
-        yield pa.RecordBatch.from_arrays([pa.array(node[bounds[:-1]]), *arrays], names=["node", "ids", "scores", "news"])
+        cells = packed.take(pa.array(np.flatnonzero(former)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node[bounds[:-1]]), *arrays, cells], names=["node", "ids", "scores", "news", "packed"]
+        )
 
     return map_groups(proposals, ["node"], merge, LISTS)
 
 
-def _neighbourhoods(graph: DataFrame, packed: DataFrame) -> DataFrame:
+def _neighbourhoods(graph: DataFrame) -> DataFrame:
     """(node, other, new, worst, packed): the neighbours of each node and up to
-    ``DEGREE`` of the nodes that have it as neighbour, new ones first."""
-    ahead = graph.select("node", F.explode(F.arrays_zip("ids", "news")).alias("e"))
-    ahead = ahead.select("node", F.col("e.ids").alias("other"), F.col("e.news").alias("new"))
+    ``DEGREE`` of the nodes that have it as neighbour, new ones first. One that is
+    both comes twice."""
+    worst = F.when(F.size("ids") >= DEGREE, F.element_at("scores", -1)).otherwise(F.lit(-1e30)).cast("float")
+    vectors = graph.select("node", worst.alias("worst"), "packed")
+    edge = F.explode(F.arrays_zip("ids", "news")).alias("edge")
+    ahead = graph.select("node", edge).select("node", F.col("edge.ids").alias("other"), F.col("edge.news").alias("new"))
+    ahead = ahead.join(vectors.withColumnRenamed("node", "other"), "other")
+    # A node brings its own vector along to those it has as neighbours.
+    behind = graph.select("node", worst.alias("worst"), "packed", edge)
+    behind = behind.select(
+        F.col("edge.ids").alias("node"), F.col("node").alias("other"), F.col("edge.news").alias("new"), "worst", "packed"
+    )
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("new").desc(), F.xxhash64("node", "other")))
-    behind = ahead.select(F.col("other").alias("node"), F.col("node").alias("other"), "new")
     behind = behind.withColumn("rank", rank).filter(F.col("rank") <= DEGREE).drop("rank")
-    both = ahead.unionByName(behind).groupBy("node", "other").agg(F.max("new").alias("new"))
-    worst = graph.select(
-        F.col("node").alias("other"),
-        F.when(F.size("ids") >= DEGREE, F.element_at("scores", -1)).otherwise(F.lit(-1e30)).cast("float").alias("worst"),
-    )
-    return both.join(packed.withColumnRenamed("node", "other").join(worst, "other"), "other")
+    return ahead.unionByName(behind)
+
 
+def _members(other: np.ndarray, new: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Rows of a neighbourhood with each member once, as new if it is so in either."""
+    order = low + np.lexsort((~new[low:high], other[low:high]))
+    return order[np.concatenate([[True], other[order[1:]] != other[order[:-1]]])]
 
-def _descended(graph: DataFrame, packed: DataFrame, scale: float) -> DataFrame:
+
+def _descended(graph: DataFrame, scale: float) -> DataFrame:
     """One round: the members of each neighbourhood are compared with each other."""
 
     def compare(rows: pa.Table, bounds: np.ndarray):
@@ -164,12 +187,12 @@ def _descended(graph: DataFrame, packed: DataFrame, scale: float) -> DataFrame:
         worst, vectors = rows.column("worst").to_numpy(), _unpacked(rows.column("packed"), scale)
         out: list[list] = [[], [], []]
         for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            part = slice(low, high)
+            part = _members(other, new, low, high)
             score = vectors[part] @ vectors[part].T
             ids, news = other[part], new[part]
             score[~(news[:, None] | news[None, :]) | (score <= worst[part][:, None])] = -np.inf
             np.fill_diagonal(score, -np.inf)
-            keep = min(PROPOSED, high - low)
+            keep = min(PROPOSED, len(part))
             order = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
             top = np.take_along_axis(score, order, axis=1)
             good = np.isfinite(top)
@@ -180,30 +203,21 @@ def _descended(graph: DataFrame, packed: DataFrame, scale: float) -> DataFrame:
                 out[2].append(top[place][mine].tolist())
         yield _proposals(out)
 
-    near = _neighbourhoods(graph, packed)
-    found = map_groups(near, ["node"], compare, PROPOSAL)
-    former = graph.select("node", "ids", "scores", F.lit(False).alias("fresh"))
-    return _merged(found.unionByName(former))
-
+    found = map_groups(_neighbourhoods(graph), ["node"], compare, PROPOSAL)
+    return _merged(found.unionByName(graph.select("node", "ids", "scores", "packed")))
 
-def neighbour_graph(nodes: DataFrame, width: int, scale: float, count: int) -> tuple[DataFrame, DataFrame]:
-    """The lists of all nodes, and their packed vectors."""
 
-    def pack(batch: pa.RecordBatch):
-        values, _ = lists(batch.column(1))
-        cells = _packed(values.reshape(batch.num_rows, -1), scale)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary())], names=["node", "packed"])
-
-    packed = stored(map_batches(nodes, pack, "node long, packed binary"), "nn-packed")
+def neighbour_graph(nodes: DataFrame, width: int, scale: float, count: int) -> DataFrame:
+    """The lists of all nodes, with their packed vectors."""
     graph = stored(_starts(nodes, width, count, scale), "nn-graph")
     for _ in range(ROUNDS):
-        better = stored(_descended(graph, packed, scale), "nn-graph")
+        better = stored(_descended(graph, scale), "nn-graph")
         discard(graph)
         graph = better
         news = graph.agg(F.sum(F.size(F.filter("news", lambda x: x)))).first()[0] or 0
         if news < CHANGED * DEGREE * count:
             break
-    return graph, packed
+    return graph
 
 
 def nearest(
@@ -226,8 +240,8 @@ def nearest(
         return none.select(
             "query_id", F.lit(0).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0.0).alias("score")
         )
-    graph, packed = neighbour_graph(nodes, width, scale, count)
-    pools = _search(nodes, graph, packed, every, beam, scale)
+    graph = neighbour_graph(nodes, width, scale, count)
+    pools = _search(nodes, graph, every, beam, scale)
     # The best of the pool by packed vectors, then exactly.
     some = pools.select("query", F.explode(F.slice("ids", 1, 4 * k)).alias("vec_id"))
     plain = nodes.select("node", F.slice("vector", 1, width).alias("vector"))
@@ -242,19 +256,23 @@ def nearest(
 POOL = "query long, wanted binary, ids array<long>, scores array<float>, done array<boolean>"
 
 
-def _search(nodes, graph, packed, every: int, beam: int, scale: float) -> DataFrame:
+def _search(nodes: DataFrame, graph: DataFrame, every: int, beam: int, scale: float) -> DataFrame:
     """The ``beam`` best vectors found per query, best first."""
-    near = _neighbourhoods(graph, packed).select("node", "other", "packed")
+    near = _neighbourhoods(graph).select("node", "other", "packed")
 
     def gather(rows: pa.Table, bounds: np.ndarray):
         other, cells = rows.column("other").to_numpy(), rows.column("packed").to_pylist()
-        node = rows.column("node").to_numpy()
-        ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(other, pa.int64()))
-        joined = [b"".join(cells[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        node, plain = rows.column("node").to_numpy(), np.zeros(rows.num_rows, dtype=bool)
+        parts = [_members(other, plain, a, b) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        cuts = np.cumsum([0, *map(len, parts)])
+        ids = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(other[np.concatenate(parts)], pa.int64()))
+        joined = [b"".join([cells[i] for i in part.tolist()]) for part in parts]
         yield pa.RecordBatch.from_arrays([pa.array(node[bounds[:-1]]), ids, pa.array(joined, pa.binary())], names=["node", "others", "cells"])
 
     around = map_groups(near, ["node"], gather, "node long, others array<long>, cells binary")
-    around = stored(around, "nn-around")
+    # Dealt by node once for all rounds; lost parts are read again from the files.
+    dealt = stored(around, "nn-around").repartition(_partitions(graph), "node")
+    around = dealt.persist(StorageLevel.DISK_ONLY)
 
     def begin(batch: pa.RecordBatch):
         # A query's further component is zero, so that scores are plain products.
@@ -277,9 +295,14 @@ def _search(nodes, graph, packed, every: int, beam: int, scale: float) -> DataFr
         pools = walked
         if not pools.filter(F.exists("done", lambda x: ~x)).limit(1).count():
             break
+    around.unpersist()
     return pools.select("query", F.filter("ids", lambda i: i != F.col("query")).alias("ids"))
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _walk(pools: DataFrame, around: DataFrame, beam: int, scale: float) -> DataFrame:
     """Expand the best ``STEP`` vectors of each pool that were not expanded yet."""
     entry = F.arrays_zip("ids", "scores", "done")
