@@ -122,8 +122,8 @@ def features(data: bytes, seen: Facts) -> dict[int, float]:
     return found
 
 
-def _examine(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, votes, places, values) per row; ``key`` orders the sample."""
+def _examine(keyed: DataFrame) -> DataFrame:
+    """(key, votes, places, values) per row."""
 
     def look(batch: pa.RecordBatch):
         out: list[list] = [[], [], []]
@@ -139,7 +139,6 @@ def _examine(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             [batch.column(0), *map(pa.array, out, types)], names=["key", "votes", "places", "values"]
         )
 
-    keyed = docs.select(F.xxhash64(id_col, text_col).alias("key"), text_col)
     return map_batches(keyed, look, "key long, votes string, places array<int>, values array<float>")
 
 
@@ -211,13 +210,17 @@ def _fit_scorer(x: np.ndarray, target: np.ndarray, steps: int = 300, rate: float
 def fit_quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE
 ) -> QualityModel:
-    """Votes of all rows are counted; the scorer learns from the ``sample`` rows
-    with the smallest hash. Only pattern counts (at most 3 to the number of
-    labellers) and the sample's features reach the driver."""
-    looked = _examine(docs, id_col, text_col)
+    """Votes of all rows are counted; the scorer learns from about ``sample`` different
+    rows, those whose hash lies in the share of all hashes that this is of the rows.
+    Only pattern counts (at most 3 to the number of labellers) and the sample's
+    features reach the driver."""
+    keyed = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    looked = _examine(keyed)
     counts = {r["votes"]: r["n"] for r in looked.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     _, _, posterior = estimate_accuracies(counts)
-    rows = looked.orderBy("key", "votes").limit(sample).collect()
+    share = min(1.0, sample / max(1, sum(counts.values())))
+    bound = min(2**63 - 1, round(share * 2**64) - 2**63)
+    rows = _examine(keyed.filter(F.col("key") <= bound).dropDuplicates(["key"])).orderBy("key").collect()
     x = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
     for number, row in enumerate(rows):
         x[number, row["places"]] = row["values"]
