@@ -158,7 +158,7 @@ def estimate_accuracies(
     cast = np.array([[kinds[v] for v in p] for p in patterns])
     weight = np.array([counts[p] for p in patterns], dtype=float)
     for_it, against = (cast == 1).sum(axis=1), (cast == 0).sum(axis=1)
-    # A bad vote weighs double: each labeller knows one kind of junk, so a junk text
+    # A bad vote weighs three times: each labeller knows one kind of junk, so a junk text
     # still gets good votes from the others.
     posterior = (for_it + 0.5) / (for_it + 3.0 * against + 1.0)
     shown = np.eye(3)[cast]  # pattern, labeller, vote
