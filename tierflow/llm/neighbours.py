@@ -27,8 +27,9 @@ DEGREE = 24
 STARTS, PART = 3, 192
 #: Rounds of descent at most; it ends earlier when few lists change.
 ROUNDS, CHANGED = 6, 0.05
-#: Best vectors that a search keeps and expands, and how many it expands at once.
-BEAM, STEP, WALKS = 320, 96, 16
+#: Best vectors that a search keeps and expands among ``FEW`` vectors, and how many it
+#: expands at once. The beam grows with the square root of the number of vectors.
+BEAM, FEW, STEP, WALKS = 320, 50_000, 96, 16
 #: Partners proposed to each member of a neighbourhood per round.
 PROPOSED = 6
 
@@ -221,7 +222,7 @@ def neighbour_graph(nodes: DataFrame, width: int, scale: float, count: int) -> D
 
 
 def nearest(
-    embeddings: DataFrame, every: int = 20, k: int = 20, beam: int = BEAM
+    embeddings: DataFrame, every: int = 20, k: int = 20, beam: int | None = None
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each row whose id is
     divisible by ``every``, among all other rows, by largest inner product.
@@ -240,6 +241,8 @@ def nearest(
         return none.select(
             "query_id", F.lit(0).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0.0).alias("score")
         )
+    if beam is None:
+        beam = math.ceil(BEAM * math.sqrt(max(1.0, count / FEW)))
     graph = neighbour_graph(nodes, width, scale, count)
     pools = _search(nodes, graph, every, beam, scale)
     # The best of the pool by packed vectors, then exactly.
