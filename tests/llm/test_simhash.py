@@ -104,3 +104,42 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long"))
     assert {r["node"]: r["component"] for r in got.collect()} == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def jaccard_texts(draw, pairs):
+    """Pairs of texts of 154 words whose shingle sets have Jaccard similarities from
+    0.80 to 0.95."""
+    rows = []
+    for number in range(pairs):
+        text = [f"{draw.randrange(10**9):x}" for _ in range(154)]
+        other = list(text)
+        # A changed end takes one shingle a word, so the similarity is (150-n)/(150+n).
+        n = 4 + number % 13
+        other[-n:] = [f"{draw.randrange(10**9):x}" for _ in range(n)]
+        rows += [(2 * number, " ".join(text)), (2 * number + 1, " ".join(other))]
+    return rows
+
+
+def kept_by_brute_force(rows, words=5, similarity=0.8):
+    sets = {i: set(simhash.shingle_hashes(t, words).tolist()) for i, t in rows}
+    return len(set(groups(sorted(sets), lambda a, b: len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])).values()))
+
+
+def test_all_similar_pairs_are_found(docs):
+    rows = jaccard_texts(random.Random(8), 150)
+    assert keep_one_per_group(docs(*rows)).count() == kept_by_brute_force(rows) == 150
+
+
+def test_crowded_shingles(docs, monkeypatch):
+    # Chains whose ends are apart, and a passage common to all, in small cells.
+    monkeypatch.setattr(simhash, "CROWD", 4)
+    draw = random.Random(9)
+    passage = [f"p{i}" for i in range(14)]
+    rows = []
+    for chain in range(8):
+        text = [f"{draw.randrange(10**9):x}" for _ in range(46)]
+        for _ in range(8):
+            rows.append((len(rows), " ".join(passage + text)))
+            for _ in range(draw.randint(1, 2)):
+                text[draw.randrange(46)] = f"{draw.randrange(10**9):x}"
+    assert keep_one_per_group(docs(*rows)).count() == kept_by_brute_force(rows)

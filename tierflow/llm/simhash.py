@@ -8,6 +8,8 @@ only the survivors are compared.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -16,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import map_batches, stored
+from tierflow.llm.common import discard, map_batches, map_groups, stored
 from tierflow.llm.components import components
 
 BITS = 64
@@ -170,69 +172,154 @@ def simhash_components(
     )
 
 
-# Similar documents rather than close fingerprints: the fingerprints propose pairs
-# from further apart, and the shingles themselves decide.
+# Similar documents rather than close fingerprints: sets of shingles are joined by
+# the rarest shingles of each, and the whole texts decide.
 
-#: Bit orders in which fingerprints are sorted, places looked back in each order,
-#: partners proposed there, and the most bits that proposed pairs differ in.
-ORDERS, BACK, PARTNERS, REACH = 32, 16, 2, 13
+#: Documents read, on average, to learn which shingles are common, and how many of
+#: them are ordered last. Any order gives the same links; a good one gives few pairs.
+SAMPLED, COMMON = 4000, 20_000
+#: Texts around one shingle whose pairs are made in one task.
+CROWD = 64
 
 
-def _sorted_orders(fps: DataFrame) -> DataFrame:
-    """(order, key, fp): each fingerprint with its bits permuted in several ways. Near
-    fingerprints stand close in the orders whose leading bits they share, and crowded
-    places need no cutting: the more neighbours, the nearer they are."""
+def rare_prefix(hashes: np.ndarray, common: np.ndarray, ranks: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of the distinct ``hashes`` in one order that all sets share, common
+    ones last. Sets of at least this Jaccard similarity have one of these in common:
+    each has at most ``len - ceil(similarity * len)`` shingles that the other lacks."""
+    if not len(hashes):
+        return np.zeros(1, dtype=np.uint64)
+    need = math.ceil(similarity * len(hashes) - 1e-6)
+    if len(common):
+        place = np.searchsorted(common, hashes).clip(max=len(common) - 1)
+        hashes = hashes[np.lexsort((hashes, np.where(common[place] == hashes, ranks[place], -1)))]
+    return hashes[: len(hashes) - need + 1]
 
-    def permute(batch: pa.RecordBatch):
-        fp = batch.column(0).to_numpy()
-        bits = np.unpackbits(fp.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        draw = np.random.default_rng(17)
-        keys = []
-        for _ in range(ORDERS):
-            packed = np.packbits(bits[:, draw.permutation(BITS)], axis=1, bitorder="little")
-            keys.append(packed.copy().view("<i8").ravel())
-        arrays = [
-            pa.array(np.repeat(np.arange(ORDERS, dtype=np.int32), len(fp))),
-            pa.array(np.concatenate(keys)), pa.array(np.tile(fp, ORDERS)),
-        ]
-        yield pa.RecordBatch.from_arrays(arrays, names=["order", "key", "fp"])
 
-    return map_batches(fps.select("fp"), permute, "order int, key long, fp long")
+def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles, sorted, that many of a sample of (node, text) have, and their ranks."""
+    share = 1 << 20
+    most = int(share * min(1.0, SAMPLED / max(1, texts.count())))
 
+    def shingles(batch: pa.RecordBatch):
+        found = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["shingle"])
 
-def proposed_pairs(fps: DataFrame, reach: int = REACH) -> DataFrame:
-    """(a, b): for each fingerprint, in each order, the nearest among those just before
-    it, if ``reach`` bits or fewer apart. Pairs whose distances to the references
-    differ by more are discarded before they are compared."""
-    # Unsigned: numpy counts the bits of absolute values.
-    references = np.array(_references(99, OVERALL), dtype=np.int64).view(np.uint64)
+    drawn = texts.filter(F.pmod(F.xxhash64(F.lit(5), "node"), F.lit(share)) < most)
+    counts = map_batches(drawn, shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.filter("n > 2").orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+    common = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(common)
+    return common[order], (len(rows) - np.arange(len(rows)))[order]
 
-    def look_back(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
+
+def _prefixes(texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(shingle, node, size): the rarest shingles of each text (node, text), and how
+    many distinct ones it has."""
+    common, ranks = _common_shingles(texts, words)
+
+    def cut(batch: pa.RecordBatch):
+        sets = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
+        firsts = [rare_prefix(found, common, ranks, similarity) for found in sets]
+        lengths = [len(first) for first in firsts]
+        columns = [
+            pa.array(np.concatenate(firsts).view(np.int64)),
+            pa.array(np.repeat(batch.column("node").to_numpy(), lengths)),
+            pa.array(np.repeat(np.array([len(found) for found in sets], dtype=np.int32), lengths)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["shingle", "node", "size"])
+
+    return map_batches(texts, cut, "shingle long, node long, size int")
+
+
+def _least_shared(similarity: float) -> Column:
+    """Rarest shingles that similar sets of ``s`` and ``t`` shingles share. Of the set
+    whose rare ones end first, fewer than ``similarity`` of all come after them, so
+    what both sets share beyond that is among the rarest of both."""
+    need = lambda size: F.ceil(size * F.lit(similarity) - F.lit(1e-6))
+    overlap = F.ceil((F.col("s") + F.col("t")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6))
+    return overlap - F.greatest(need(F.col("s")), need(F.col("t"))) + 1
+
+
+def _fitting(similarity: float) -> Column:
+    return F.least("s", "t") >= F.greatest("s", "t") * F.lit(similarity) - F.lit(1e-6)
+
+
+def _starred(postings: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): each text with the smallest around some of its shingles. Who shares few
+    of them with it is left to the pairs that are made later."""
+    pairs = postings.filter("node <> least").select(
+        F.col("least").alias("a"), F.col("node").alias("b"), F.col("other").alias("s"), F.col("size").alias("t")
+    )
+    counts = pairs.filter(_fitting(similarity)).groupBy("a", "b", "s", "t").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(4 * F.col("n") >= _least_shared(similarity)).select("a", "b")
+
+
+def _crossed(postings: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
+    """(a, b), a < b: all pairs that links (node, component) do not connect yet and whose
+    sizes and common rarest shingles allow the similarity. Texts around a shingle are dealt
+    into cells of about ``CROWD``, and every two cells meet."""
+    named = postings.join(linked, "node", "left").select("shingle", "node", "size", F.coalesce("component", "node").alias("component"))
+    named = stored(named, "near-named")
+    mixed = named.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    mixed = stored(mixed.filter("low <> high").select("shingle", F.ceil(F.col("n") / CROWD).cast("int").alias("cells")), "near-mixed")
+    dealt = named.join(mixed, "shingle").withColumn("cell", F.pmod(F.xxhash64("node"), "cells").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    dealt = dealt.select("shingle", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "cell", "node", "size", "component")
+
+    def pair(rows: pa.Table, bounds: np.ndarray):
+        i, j, cell, node, size, component = (rows.column(c).to_numpy() for c in ("i", "j", "cell", "node", "size", "component"))
+        out: list[list] = [[], [], [], []]
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if high - low < 2:
                 continue
-            order, fp = batch.column(0).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
-            fresh = 0
-            if held is not None:
-                fresh = len(held[0])
-                order, fp = np.concatenate([held[0], order]), np.concatenate([held[1], fp])
-            held = order[-BACK:], fp[-BACK:]
-            table = np.bitwise_count(fp[:, None] ^ references).astype(np.int16)
-            distances = np.full((len(fp), BACK), BITS + 1, dtype=np.int16)
-            for back in range(1, min(BACK, len(fp) - 1) + 1):
-                fits = (order[back:] == order[:-back]) & (np.abs(table[back:] - table[:-back]).max(axis=1) <= reach)
-                rows = np.flatnonzero(fits)
-                distances[rows + back, back - 1] = np.bitwise_count(fp[rows + back] ^ fp[rows])
-            nearest = np.argsort(distances, axis=1, kind="stable")[:, :PARTNERS]
-            rows = np.repeat(np.arange(len(fp)), nearest.shape[1])
-            columns = nearest.ravel()
-            good = (distances[rows, columns] <= reach) & (rows >= fresh)
-            x, y = fp[rows[good]].view(np.int64), fp[rows[good] - columns[good] - 1].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-    orders = _sorted_orders(fps).repartitionByRange("order", "key").sortWithinPartitions("order", "key", "fp")
-    return orders.mapInArrow(look_back, "a long, b long").distinct()
+            part = slice(low, high)
+            x, s = node[part], size[part]
+            fits = (x[:, None] < x[None, :]) & (component[part][:, None] != component[part][None, :])
+            fits &= np.minimum(s[:, None], s[None, :]) >= similarity * np.maximum(s[:, None], s[None, :]) - 1e-6
+            if i[low] != j[low]:
+                fits &= cell[part][:, None] != cell[part][None, :]
+            a, b = np.nonzero(fits)
+            for column, values in zip(out, (x[a], x[b], s[a], s[b])):
+                column.append(values)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["a", "b", "s", "t"])
+
+    pairs = map_groups(dealt, ["shingle", "i", "j"], pair, "a long, b long, s int, t int")
+    counts = pairs.groupBy("a", "b", "s", "t").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") >= _least_shared(similarity)).select("a", "b")
+
+
+def similar_links(texts: DataFrame, fetch: Callable[[DataFrame], DataFrame], words: int, similarity: float) -> DataFrame:
+    """Edges (a, b) between texts (node, text) that connect all pairs of at least this
+    Jaccard similarity: every such pair is an edge or is joined by edges.
+
+    Such a pair has one of its rarest shingles in common. Each text is compared with
+    the smallest around each of its shingles first, which connects copies without
+    making their pairs; then all pairs around a shingle that are still apart are
+    compared. Nothing is dropped. ``fetch`` gives (node, text) once per node.
+    """
+    prefixes = stored(_prefixes(texts, words, similarity), "near-prefixes")
+    shared = prefixes.groupBy("shingle").agg(
+        F.min("node").alias("least"), F.max("node").alias("most"), F.min_by("size", "node").alias("other")
+    )
+    shared = stored(shared.filter("least <> most").select("shingle", "least", "other"), "near-shared")
+    # Equal texts come once.
+    postings = stored(prefixes.join(shared, "shingle").distinct(), "near-postings")
+    discard(prefixes)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        found = stored(fetch(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "near-texts")
+        both = pairs.join(found.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+        both = both.join(found.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+        return stored(_similar(both.select("a", "b", "left", "right"), words, similarity), "near-links")
+
+    starred = stored(_starred(postings, similarity), "near-pairs")
+    links = verified(starred)
+    crossed = _crossed(postings.drop("least", "other"), components(links), similarity)
+    crossed = stored(crossed.join(starred, ["a", "b"], "left_anti"), "near-pairs")
+    return links.unionByName(verified(crossed))
 
 
 def _similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -268,8 +355,8 @@ def keep_one_per_group(
 
     Texts link if they are equal or if the Jaccard similarity of their sets of
     ``words``-word shingles is ``similarity`` or more; groups are what links connect.
-    Pairs come from SimHash fingerprints and every link is verified on the whole
-    texts. Of equal texts the row with the smallest id stays, of equal rows one.
+    All such pairs are found, and every link is verified on the whole texts. Of equal
+    texts the row with the smallest id stays, of equal rows one.
     Texts without words equal each other. A row with a null id stays only if its
     text has no other id. An empty table gives no rows.
     """
@@ -277,41 +364,21 @@ def keep_one_per_group(
     marks = {"__h1": F.xxhash64(whole), "__h2": F.xxhash64(F.lit(1), whole)}
     marked = docs.withColumns(marks)
 
-    def compute(batch: pa.RecordBatch):
-        values = [fingerprint(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
-        columns = [batch.column(c) for c in ("node", "other", "id")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.int64())], names=["node", "other", "id", "fp"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    slim = marked.select(F.col("__h1").alias("node"), F.col("__h2").alias("other"), F.col(id_col).alias("id"), whole.alias("text"))
-    slim = stored(map_batches(slim, compute, f"node long, other long, id {kind}, fp long"), "near-rows")
-    same = slim.groupBy("node", "other", "id").agg(F.count(F.lit(1)).alias("n"), F.first("fp").alias("fp"))
-    classes = same.groupBy("node", "other").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least"), F.first("fp").alias("fp")
-    )
-    classes = classes.select("node", "other", F.col("least.id").alias("id"), F.col("least.n").alias("n"), "fp")
+    slim = marked.select(F.col("__h1").alias("node"), F.col("__h2").alias("other"), F.col(id_col).alias("id"))
+    same = slim.groupBy("node", "other", "id").agg(F.count(F.lit(1)).alias("n"))
+    classes = same.groupBy("node", "other").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least"))
+    classes = classes.select("node", "other", F.col("least.id").alias("id"), F.col("least.n").alias("n"))
     classes = stored(classes, "near-classes")
 
-    # Different texts with one fingerprint are compared with the first of them.
-    firsts = classes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("texts"))
-    firsts = stored(firsts, "near-fingerprints")
-    alike = classes.join(firsts.filter("texts > 1"), "fp").filter("node <> first")
-    alike = alike.select(F.col("node").alias("a"), F.col("first").alias("b"))
-    named = firsts.select("fp", "first")
-    apart = proposed_pairs(firsts.select("fp"))
-    apart = apart.join(named.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a")
-    apart = apart.join(named.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
-    pairs = stored(alike.unionByName(apart.select(F.col("x").alias("a"), F.col("y").alias("b"))), "near-pairs")
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = wanted.join(classes.select("node", "id"), "node")
-    texts = marked.select(F.col("__h1").alias("node"), F.col(id_col).alias("own"), whole.alias("text"))
-    texts = texts.join(wanted, "node").filter(F.col("own").eqNullSafe(F.col("id")))
-    texts = stored(texts.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-    links = _similar(both.select("a", "b", "left", "right"), words, similarity)
-    grouped = components(stored(links, "near-links")).filter("node <> component").select("node")
+    def fetch(nodes: DataFrame) -> DataFrame:
+        wanted = nodes.join(classes.select("node", "id"), "node")
+        texts = marked.select(F.col("__h1").alias("node"), F.col(id_col).alias("own"), whole.alias("text"))
+        texts = texts.join(wanted, "node").filter(F.col("own").eqNullSafe(F.col("id")))
+        return texts.groupBy("node").agg(F.first("text").alias("text"))
+
+    texts = marked.select(F.col("__h1").alias("node"), whole.alias("text"))
+    links = similar_links(texts, fetch, words, similarity)
+    grouped = components(links).filter("node <> component").select("node")
 
     stay = classes.join(grouped, "node", "left_anti")
     stay = stay.select(F.col("node").alias("__h1"), F.col("other").alias("__h2"), F.col("id").alias("__id"), F.col("n").alias("__n"))
