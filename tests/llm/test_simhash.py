@@ -143,3 +143,15 @@ def test_crowded_shingles(docs, monkeypatch):
             for _ in range(draw.randint(1, 2)):
                 text[draw.randrange(46)] = f"{draw.randrange(10**9):x}"
     assert keep_one_per_group(docs(*rows)).count() == kept_by_brute_force(rows)
+
+
+def test_texts_under_one_fingerprint(docs):
+    # One repeated shingle outweighs the rest, so all these share a fingerprint.
+    draw = random.Random(10)
+    rows = []
+    for number in range(12):
+        tail = [f"{draw.randrange(10**9):x}" for _ in range(40)]
+        rows.append((2 * number, " ".join(["tick"] * 400 + tail)))
+        rows.append((2 * number + 1, " ".join(["tick"] * 400 + tail[:-1] + ["end"])))
+    assert len({simhash.fingerprint(simhash.shingle_hashes(t, 5)) for _, t in rows}) == 1
+    assert keep_one_per_group(docs(*rows)).count() == kept_by_brute_force(rows) == 12
