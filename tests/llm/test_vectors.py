@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tierflow.llm import vectors
+from tierflow.llm import neighbours, vectors
 from tierflow.llm.neighbours import nearest
 from tierflow.llm.vectors import hadamard, near_vectors
 
@@ -85,3 +86,15 @@ def test_search_of_few_and_awkward_vectors(spark):
         (20, 1, 1, 6.0), (20, 2, 0, 3.0), (20, 3, 2, 3.0), (20, 4, 96, 3.0),
     ]
     assert nearest(table(spark, [])).collect() == []
+
+
+def test_search_goes_on_until_all_is_expanded(spark, monkeypatch):
+    calls = []
+
+    def slow(pools, around, *rest):
+        calls.append(1)
+        return pools.withColumn("done", F.transform("done", lambda x: F.lit(len(calls) >= 20)))
+
+    monkeypatch.setattr(neighbours, "_walk", slow)
+    nearest(table(spark, [(i, [1.0, float(i)]) for i in range(3)]))
+    assert len(calls) == 20

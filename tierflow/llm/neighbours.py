@@ -25,11 +25,11 @@ from tierflow.llm.common import discard, lists, map_batches, map_groups, stored,
 DEGREE = 24
 #: Random plane partitions that give the first lists, and vectors per part.
 STARTS, PART = 3, 192
-#: Rounds of descent at most; it ends earlier when few lists change.
-ROUNDS, CHANGED = 6, 0.05
+#: Descent ends when fewer than this share of the list entries are new.
+CHANGED = 0.05
 #: Best vectors that a search keeps and expands among ``FEW`` vectors, and how many it
 #: expands at once. The beam grows with the square root of the number of vectors.
-BEAM, FEW, STEP, WALKS = 320, 50_000, 96, 16
+BEAM, FEW, STEP = 320, 50_000, 96
 #: Partners proposed to each member of a neighbourhood per round.
 PROPOSED = 6
 
@@ -211,7 +211,8 @@ def _descended(graph: DataFrame, scale: float) -> DataFrame:
 def neighbour_graph(nodes: DataFrame, width: int, scale: float, count: int) -> DataFrame:
     """The lists of all nodes, with their packed vectors."""
     graph = stored(_starts(nodes, width, count, scale), "nn-graph")
-    for _ in range(ROUNDS):
+    # Lists only get better, so that it comes to an end.
+    while True:
         better = stored(_descended(graph, scale), "nn-graph")
         discard(graph)
         graph = better
@@ -292,7 +293,8 @@ def _search(nodes: DataFrame, graph: DataFrame, every: int, beam: int, scale: fl
 
     # A query is a node of the graph, so its walk begins at itself.
     pools = stored(map_batches(nodes.filter(F.col("node") % every == 0), begin, POOL), "nn-pools")
-    for _ in range(WALKS):
+    # Pools only get better and nothing is expanded twice while it is in one.
+    while True:
         walked = stored(_walk(pools, around, beam, scale), "nn-pools")
         discard(pools)
         pools = walked
