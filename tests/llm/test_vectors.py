@@ -98,3 +98,17 @@ def test_search_goes_on_until_all_is_expanded(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "_walk", slow)
     nearest(table(spark, [(i, [1.0, float(i)]) for i in range(3)]))
     assert len(calls) == 20
+
+
+def test_recall_with_mixed_norms(spark):
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(400, 64))
+    # Norms over two orders of magnitude, and queries near the short ones.
+    x *= (10 ** draw.uniform(-1, 1, (400, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+    x[0] *= 1000 / np.linalg.norm(x[0])
+    rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+    hits = {}
+    for r in nearest(table(spark, rows)).collect():
+        hits.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = [len(got & set(brute_nearest(rows, q, 20))) / 20 for q, got in hits.items()]
+    assert len(recall) == 20 and np.mean(recall) >= 0.97

@@ -34,18 +34,30 @@ BEAM, FEW, STEP = 320, 50_000, 96
 PROPOSED = 6
 
 
-def _packed(rows: np.ndarray, scale: float) -> list[bytes]:
-    return [r.tobytes() for r in np.rint(rows * (127 / scale)).clip(-127, 127).astype(np.int8)]
+def _packed(rows: np.ndarray) -> list[bytes]:
+    """A vector's own factor, its further component, and the others as bytes. Scaled by
+    its own largest component, a short vector keeps its bits beside a long one."""
+    own = rows[:, :-1]
+    factor = np.abs(own).max(axis=1, keepdims=True) / 127
+    small = np.rint(own / factor).clip(-127, 127).astype(np.int8)
+    ends = np.concatenate([factor, rows[:, -1:]], axis=1).astype("<f4")
+    return [r.tobytes() for r in np.concatenate([ends.view(np.int8), small], axis=1)]
 
 
-def _unpacked(column, scale: float) -> np.ndarray:
+def _split(cells: bytes, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``count`` packed vectors (factor, further component) and the other ones."""
+    data = np.frombuffer(cells, dtype=np.int8).reshape(count, -1)
+    return np.ascontiguousarray(data[:, :8]).view("<f4"), data[:, 8:].astype(np.float32)
+
+
+def _unpacked(column) -> np.ndarray:
     cells = column.to_pylist()
-    data = np.frombuffer(b"".join(cells), dtype=np.int8).astype(np.float32) * np.float32(scale / 127)
-    return data.reshape(len(cells), -1)
+    ends, own = _split(b"".join(cells), len(cells))
+    return np.concatenate([own * ends[:, :1], ends[:, 1:]], axis=1)
 
 
-def _nodes(embeddings: DataFrame) -> tuple[DataFrame, float, int]:
-    """(node, vector) of equal length and norm, the largest component, and the width.
+def _nodes(embeddings: DataFrame) -> tuple[DataFrame, int]:
+    """(node, vector) of equal length and norm, and the width.
 
     One row per id: repeated rows are one vector, and of several vectors with one
     id the smallest counts.
@@ -57,15 +69,15 @@ def _nodes(embeddings: DataFrame) -> tuple[DataFrame, float, int]:
     plain = stored(plain.withColumn("square", square), "nn-vectors")
     bound = plain.agg(F.max("square").alias("square"), F.max(F.size("vector")).alias("width")).first()
     if bound["width"] is None:
-        return plain.select(F.col("vec_id").alias("node"), "vector"), 1.0, 0
+        return plain.select(F.col("vec_id").alias("node"), "vector"), 0
     most, width = float(bound["square"]), int(bound["width"])
     padding = F.array_repeat(F.lit(0.0), F.lit(width) - F.size("vector"))
     rest = F.sqrt(F.greatest(F.lit(0.0), F.lit(most) - F.col("square")))
     full = F.concat(F.col("vector"), padding, F.array(rest))
-    return plain.select(F.col("vec_id").alias("node"), full.alias("vector")), math.sqrt(most), width
+    return plain.select(F.col("vec_id").alias("node"), full.alias("vector")), width
 
 
-def _starts(nodes: DataFrame, width: int, count: int, scale: float) -> DataFrame:
+def _starts(nodes: DataFrame, width: int, count: int) -> DataFrame:
     """(node, ids, scores, fresh): best partners among vectors in the same part."""
     bits = max(0, math.ceil(math.log2(max(1, count / PART))))
     planes = np.random.default_rng(3).normal(size=(STARTS, bits, width + 1))
@@ -75,7 +87,7 @@ def _starts(nodes: DataFrame, width: int, count: int, scale: float) -> DataFrame
         rows = values.reshape(batch.num_rows, -1)
         parts = [[int(c) for c in ((rows @ p.T > 0) @ (1 << np.arange(bits))).tolist()] for p in planes]
         keys = [[part[i] * STARTS + n for n, part in enumerate(parts)] for i in range(batch.num_rows)]
-        columns = [batch.column(0), pa.array(_packed(rows, scale), pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+        columns = [batch.column(0), pa.array(_packed(rows), pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, names=["node", "packed", "parts"])
 
     dealt = map_batches(nodes, sides, "node long, packed binary, parts array<long>")
@@ -85,7 +97,7 @@ def _starts(nodes: DataFrame, width: int, count: int, scale: float) -> DataFrame
     dealt = dealt.join(sizes, "part").withColumn("cut", F.pmod(F.xxhash64("node"), "cuts"))
 
     def best(rows: pa.Table, bounds: np.ndarray):
-        nodes_, vectors = rows.column("node").to_numpy(), _unpacked(rows.column("packed"), scale)
+        nodes_, vectors = rows.column("node").to_numpy(), _unpacked(rows.column("packed"))
         out: list[list] = [[], [], []]
         for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             ids, part = nodes_[low:high], vectors[low:high]
@@ -103,7 +115,7 @@ def _starts(nodes: DataFrame, width: int, count: int, scale: float) -> DataFrame
     def pack(batch: pa.RecordBatch):
         values, _ = lists(batch.column(1))
         none = [[] for _ in range(batch.num_rows)]
-        cells = _packed(values.reshape(batch.num_rows, -1), scale)
+        cells = _packed(values.reshape(batch.num_rows, -1))
         yield _proposals([batch.column(0).to_pylist(), none, none], cells)
 
     return _merged(found.unionByName(map_batches(nodes, pack, PROPOSAL)))
@@ -180,12 +192,12 @@ def _members(other: np.ndarray, new: np.ndarray, low: int, high: int) -> np.ndar
     return order[np.concatenate([[True], other[order[1:]] != other[order[:-1]]])]
 
 
-def _descended(graph: DataFrame, scale: float) -> DataFrame:
+def _descended(graph: DataFrame) -> DataFrame:
     """One round: the members of each neighbourhood are compared with each other."""
 
     def compare(rows: pa.Table, bounds: np.ndarray):
         other, new = rows.column("other").to_numpy(), rows.column("new").to_numpy(zero_copy_only=False)
-        worst, vectors = rows.column("worst").to_numpy(), _unpacked(rows.column("packed"), scale)
+        worst, vectors = rows.column("worst").to_numpy(), _unpacked(rows.column("packed"))
         out: list[list] = [[], [], []]
         for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             part = _members(other, new, low, high)
@@ -208,12 +220,12 @@ def _descended(graph: DataFrame, scale: float) -> DataFrame:
     return _merged(found.unionByName(graph.select("node", "ids", "scores", "packed")))
 
 
-def neighbour_graph(nodes: DataFrame, width: int, scale: float, count: int) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, width: int, count: int) -> DataFrame:
     """The lists of all nodes, with their packed vectors."""
-    graph = stored(_starts(nodes, width, count, scale), "nn-graph")
+    graph = stored(_starts(nodes, width, count), "nn-graph")
     # Lists only get better, so that it comes to an end.
     while True:
-        better = stored(_descended(graph, scale), "nn-graph")
+        better = stored(_descended(graph), "nn-graph")
         discard(graph)
         graph = better
         news = graph.agg(F.sum(F.size(F.filter("news", lambda x: x)))).first()[0] or 0
@@ -235,7 +247,7 @@ def nearest(
     are taken as padded with zeros. Other columns are not read; an empty table
     gives no rows.
     """
-    nodes, scale, width = _nodes(embeddings)
+    nodes, width = _nodes(embeddings)
     count = nodes.count()
     if not width or count < 2:
         none = nodes.select(F.col("node").alias("query_id")).limit(0)
@@ -244,8 +256,8 @@ def nearest(
         )
     if beam is None:
         beam = math.ceil(BEAM * math.sqrt(max(1.0, count / FEW)))
-    graph = neighbour_graph(nodes, width, scale, count)
-    pools = _search(nodes, graph, every, beam, scale)
+    graph = neighbour_graph(nodes, width, count)
+    pools = _search(nodes, graph, every, beam)
     # The best of the pool by packed vectors, then exactly.
     some = pools.select("query", F.explode(F.slice("ids", 1, 4 * k)).alias("vec_id"))
     plain = nodes.select("node", F.slice("vector", 1, width).alias("vector"))
@@ -260,7 +272,7 @@ def nearest(
 POOL = "query long, wanted binary, ids array<long>, scores array<float>, done array<boolean>"
 
 
-def _search(nodes: DataFrame, graph: DataFrame, every: int, beam: int, scale: float) -> DataFrame:
+def _search(nodes: DataFrame, graph: DataFrame, every: int, beam: int) -> DataFrame:
     """The ``beam`` best vectors found per query, best first."""
     near = _neighbourhoods(graph).select("node", "other", "packed")
 
@@ -295,7 +307,7 @@ def _search(nodes: DataFrame, graph: DataFrame, every: int, beam: int, scale: fl
     pools = stored(map_batches(nodes.filter(F.col("node") % every == 0), begin, POOL), "nn-pools")
     # Pools only get better and nothing is expanded twice while it is in one.
     while True:
-        walked = stored(_walk(pools, around, beam, scale), "nn-pools")
+        walked = stored(_walk(pools, around, beam), "nn-pools")
         discard(pools)
         pools = walked
         if not pools.filter(F.exists("done", lambda x: ~x)).limit(1).count():
@@ -308,7 +320,7 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _walk(pools: DataFrame, around: DataFrame, beam: int, scale: float) -> DataFrame:
+def _walk(pools: DataFrame, around: DataFrame, beam: int) -> DataFrame:
     """Expand the best ``STEP`` vectors of each pool that were not expanded yet."""
     entry = F.arrays_zip("ids", "scores", "done")
     open_ = F.slice(F.filter(entry, lambda e: ~e["done"]), 1, STEP)
@@ -324,8 +336,8 @@ def _walk(pools: DataFrame, around: DataFrame, beam: int, scale: float) -> DataF
         out: list[list] = [[], []]
         for place, (query, cell) in enumerate(zip(wanted, cells)):
             query = np.frombuffer(query, dtype=np.float32)
-            near = np.frombuffer(cell, dtype=np.int8).reshape(-1, len(query)).astype(np.float32)
-            found = near @ query * np.float32(scale / 127)
+            ends, near = _split(cell, len(cell) // (len(query) + 7))
+            found = near @ query[:-1] * ends[:, 0]
             good = found > worst_[place]
             out[0].append(others[starts[place] : starts[place + 1]][good].tolist())
             out[1].append(found[good].tolist())
