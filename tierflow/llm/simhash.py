@@ -8,8 +8,6 @@ only the survivors are compared.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -18,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import discard, map_batches, map_groups, stored
+from tierflow.llm.common import map_batches, stored
 from tierflow.llm.components import components
 
 BITS = 64
@@ -57,14 +55,21 @@ def fingerprint(hashes: np.ndarray, chunk: int = 1 << 15) -> int:
 def fingerprints(
     docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp) of each row. A null text has no words and fingerprint 0."""
+    """(doc_id, mark, fp) of each row: ``mark`` is a hash that tells the texts of one
+    id apart. A null text has no words and fingerprint 0."""
 
     def compute(batch: pa.RecordBatch):
-        values = [fingerprint(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], names=["doc_id", "fp"])
+        values = [fingerprint(shingle_hashes(t, words)) for t in batch.column(2).to_pylist()]
+        columns = [batch.column(0), batch.column(1), pa.array(values, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), compute, f"doc_id {kind}, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), _mark(text_col).alias("mark"), F.col(text_col).alias("text"))
+    return map_batches(rows, compute, f"doc_id {kind}, mark long, fp long")
+
+
+def _mark(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def _references(seed: int, n: int) -> list[int]:
@@ -142,6 +147,21 @@ def _through_neighbours(fps: DataFrame, distance: int) -> DataFrame:
     return linked.select(F.col("fp").alias("a"), "b").distinct()
 
 
+def _labelled(docs: DataFrame, words: int, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, mark, fp, component, component_id) of each row; ``component`` is the
+    smallest fingerprint that links reach."""
+    marked = stored(fingerprints(docs, words, id_col, text_col), "simhash")
+    # Copies collapse first: one row per distinct fingerprint from here on.
+    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = stored(distinct, "simhash-distinct")
+    grouped = components(close_links(distinct.select("fp"), distance))
+    named = distinct.join(grouped.withColumnRenamed("node", "fp"), "fp", "left")
+    named = named.select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    labels = named.join(smallest, "component").select("fp", "component", "component_id")
+    return marked.join(labels, "fp")
+
+
 def simhash_components(
     docs: DataFrame,
     words: int = 3,
@@ -158,230 +178,33 @@ def simhash_components(
     row takes the smallest other id of its component, or null. Other columns are
     not read. An empty table gives no rows.
     """
-    marked = stored(fingerprints(docs, words, id_col, text_col), "simhash")
-    # Copies collapse first: one row per distinct fingerprint from here on.
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    distinct = stored(distinct, "simhash-distinct")
-    grouped = components(close_links(distinct.select("fp"), distance))
-    named = distinct.join(grouped.withColumnRenamed("node", "fp"), "fp", "left")
-    named = named.select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = named.join(smallest, "component").select("fp", "component_id")
-    return marked.join(labels, "fp").select(
+    return _labelled(docs, words, distance, id_col, text_col).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-# Similar documents rather than close fingerprints: sets of shingles are joined by
-# the rarest shingles of each, and the whole texts decide.
-
-#: Documents read, on average, to learn which shingles are common, and how many of
-#: them are ordered last. Any order gives the same links; a good one gives few pairs.
-SAMPLED, COMMON = 4000, 20_000
-#: Texts around one shingle whose pairs are made in one task.
-CROWD = 64
-
-
-def rare_prefix(hashes: np.ndarray, common: np.ndarray, ranks: np.ndarray, similarity: float) -> np.ndarray:
-    """The first of the distinct ``hashes`` in one order that all sets share, common
-    ones last. Sets of at least this Jaccard similarity have one of these in common:
-    each has at most ``len - ceil(similarity * len)`` shingles that the other lacks."""
-    if not len(hashes):
-        return np.zeros(1, dtype=np.uint64)
-    need = math.ceil(similarity * len(hashes) - 1e-6)
-    if len(common):
-        place = np.searchsorted(common, hashes).clip(max=len(common) - 1)
-        hashes = hashes[np.lexsort((hashes, np.where(common[place] == hashes, ranks[place], -1)))]
-    return hashes[: len(hashes) - need + 1]
-
-
-def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles, sorted, that many of a sample of (node, text) have, and their ranks."""
-    share = 1 << 20
-    most = int(share * min(1.0, SAMPLED / max(1, texts.count())))
-
-    def shingles(batch: pa.RecordBatch):
-        found = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["shingle"])
-
-    drawn = texts.filter(F.pmod(F.xxhash64(F.lit(5), "node"), F.lit(share)) < most)
-    counts = map_batches(drawn, shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.filter("n > 2").orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
-    common = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
-    order = np.argsort(common)
-    return common[order], (len(rows) - np.arange(len(rows)))[order]
-
-
-def _prefixes(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(shingle, node, size): the rarest shingles of each text (node, text), and how
-    many distinct ones it has."""
-    common, ranks = _common_shingles(texts, words)
-
-    def cut(batch: pa.RecordBatch):
-        sets = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").to_pylist()]
-        firsts = [rare_prefix(found, common, ranks, similarity) for found in sets]
-        lengths = [len(first) for first in firsts]
-        columns = [
-            pa.array(np.concatenate(firsts).view(np.int64)),
-            pa.array(np.repeat(batch.column("node").to_numpy(), lengths)),
-            pa.array(np.repeat(np.array([len(found) for found in sets], dtype=np.int32), lengths)),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["shingle", "node", "size"])
-
-    return map_batches(texts, cut, "shingle long, node long, size int")
-
-
-def _least_shared(similarity: float) -> Column:
-    """Rarest shingles that similar sets of ``s`` and ``t`` shingles share. Of the set
-    whose rare ones end first, fewer than ``similarity`` of all come after them, so
-    what both sets share beyond that is among the rarest of both."""
-    need = lambda size: F.ceil(size * F.lit(similarity) - F.lit(1e-6))
-    overlap = F.ceil((F.col("s") + F.col("t")) * F.lit(similarity / (1 + similarity)) - F.lit(1e-6))
-    return overlap - F.greatest(need(F.col("s")), need(F.col("t"))) + 1
-
-
-def _fitting(similarity: float) -> Column:
-    return F.least("s", "t") >= F.greatest("s", "t") * F.lit(similarity) - F.lit(1e-6)
-
-
-def _starred(postings: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): each text with the smallest around some of its shingles. Who shares few
-    of them with it is left to the pairs that are made later."""
-    pairs = postings.filter("node <> least").select(
-        F.col("least").alias("a"), F.col("node").alias("b"), F.col("other").alias("s"), F.col("size").alias("t")
-    )
-    counts = pairs.filter(_fitting(similarity)).groupBy("a", "b", "s", "t").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(4 * F.col("n") >= _least_shared(similarity)).select("a", "b")
-
-
-def _crossed(postings: DataFrame, linked: DataFrame, similarity: float) -> DataFrame:
-    """(a, b), a < b: all pairs that links (node, component) do not connect yet and whose
-    sizes and common rarest shingles allow the similarity. Texts around a shingle are dealt
-    into cells of about ``CROWD``, and every two cells meet."""
-    named = postings.join(linked, "node", "left").select("shingle", "node", "size", F.coalesce("component", "node").alias("component"))
-    named = stored(named, "near-named")
-    mixed = named.groupBy("shingle").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
-    )
-    mixed = stored(mixed.filter("low <> high").select("shingle", F.ceil(F.col("n") / CROWD).cast("int").alias("cells")), "near-mixed")
-    dealt = named.join(mixed, "shingle").withColumn("cell", F.pmod(F.xxhash64("node"), "cells").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    dealt = dealt.select("shingle", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "cell", "node", "size", "component")
-
-    def pair(rows: pa.Table, bounds: np.ndarray):
-        i, j, cell, node, size, component = (rows.column(c).to_numpy() for c in ("i", "j", "cell", "node", "size", "component"))
-        out: list[list] = [[], [], [], []]
-        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if high - low < 2:
-                continue
-            part = slice(low, high)
-            x, s = node[part], size[part]
-            fits = (x[:, None] < x[None, :]) & (component[part][:, None] != component[part][None, :])
-            fits &= np.minimum(s[:, None], s[None, :]) >= similarity * np.maximum(s[:, None], s[None, :]) - 1e-6
-            if i[low] != j[low]:
-                fits &= cell[part][:, None] != cell[part][None, :]
-            a, b = np.nonzero(fits)
-            for column, values in zip(out, (x[a], x[b], s[a], s[b])):
-                column.append(values)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["a", "b", "s", "t"])
-
-    pairs = map_groups(dealt, ["shingle", "i", "j"], pair, "a long, b long, s int, t int")
-    counts = pairs.groupBy("a", "b", "s", "t").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") >= _least_shared(similarity)).select("a", "b")
-
-
-def similar_links(texts: DataFrame, fetch: Callable[[DataFrame], DataFrame], words: int, similarity: float) -> DataFrame:
-    """Edges (a, b) between texts (node, text) that connect all pairs of at least this
-    Jaccard similarity: every such pair is an edge or is joined by edges.
-
-    Such a pair has one of its rarest shingles in common. Each text is compared with
-    the smallest around each of its shingles first, which connects copies without
-    making their pairs; then all pairs around a shingle that are still apart are
-    compared. Nothing is dropped. ``fetch`` gives (node, text) once per node.
-    """
-    prefixes = stored(_prefixes(texts, words, similarity), "near-prefixes")
-    shared = prefixes.groupBy("shingle").agg(
-        F.min("node").alias("least"), F.max("node").alias("most"), F.min_by("size", "node").alias("other")
-    )
-    shared = stored(shared.filter("least <> most").select("shingle", "least", "other"), "near-shared")
-    # Equal texts come once.
-    postings = stored(prefixes.join(shared, "shingle").distinct(), "near-postings")
-    discard(prefixes)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        found = stored(fetch(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "near-texts")
-        both = pairs.join(found.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-        both = both.join(found.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-        return stored(_similar(both.select("a", "b", "left", "right"), words, similarity), "near-links")
-
-    starred = stored(_starred(postings, similarity), "near-pairs")
-    links = verified(starred)
-    crossed = _crossed(postings.drop("least", "other"), components(links), similarity)
-    crossed = stored(crossed.join(starred, ["a", "b"], "left_anti"), "near-pairs")
-    return links.unionByName(verified(crossed))
-
-
-def _similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Pairs (a, b, left, right) of texts whose shingle sets are similar enough."""
-
-    def compare(batch: pa.RecordBatch):
-        sets: dict[str | None, np.ndarray] = {}
-
-        def shingles(text):
-            if text not in sets:
-                sets[text] = np.unique(shingle_hashes(text, words))
-            return sets[text]
-
-        good = []
-        for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-            x, y = shingles(left), shingles(right)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            every = len(x) + len(y) - both
-            good.append(both >= similarity * every)
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return map_batches(pairs, compare, "a long, b long")
-
-
 def keep_one_per_group(
     docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
+    words: int = 3,
+    distance: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, all columns kept.
-
-    Texts link if they are equal or if the Jaccard similarity of their sets of
-    ``words``-word shingles is ``similarity`` or more; groups are what links connect.
-    All such pairs are found, and every link is verified on the whole texts. Of equal
-    texts the row with the smallest id stays, of equal rows one.
-    Texts without words equal each other. A row with a null id stays only if its
-    text has no other id. An empty table gives no rows.
+    """``docs`` with one row of each group of linked fingerprints, all columns kept.
+
+    The row with the smallest id of its group stays; of equal rows one, of different
+    texts under that id one. A row with a null id stays only if its group has no other
+    id. Links are those of :func:`simhash_components`. An empty table gives no rows.
     """
-    whole = F.coalesce(F.col(text_col), F.lit(""))
-    marks = {"__h1": F.xxhash64(whole), "__h2": F.xxhash64(F.lit(1), whole)}
-    marked = docs.withColumns(marks)
-
-    slim = marked.select(F.col("__h1").alias("node"), F.col("__h2").alias("other"), F.col(id_col).alias("id"))
-    same = slim.groupBy("node", "other", "id").agg(F.count(F.lit(1)).alias("n"))
-    classes = same.groupBy("node", "other").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n")).alias("least"))
-    classes = classes.select("node", "other", F.col("least.id").alias("id"), F.col("least.n").alias("n"))
-    classes = stored(classes, "near-classes")
-
-    def fetch(nodes: DataFrame) -> DataFrame:
-        wanted = nodes.join(classes.select("node", "id"), "node")
-        texts = marked.select(F.col("__h1").alias("node"), F.col(id_col).alias("own"), whole.alias("text"))
-        texts = texts.join(wanted, "node").filter(F.col("own").eqNullSafe(F.col("id")))
-        return texts.groupBy("node").agg(F.first("text").alias("text"))
-
-    texts = marked.select(F.col("__h1").alias("node"), whole.alias("text"))
-    links = similar_links(texts, fetch, words, similarity)
-    grouped = components(links).filter("node <> component").select("node")
-
-    stay = classes.join(grouped, "node", "left_anti")
-    stay = stay.select(F.col("node").alias("__h1"), F.col("other").alias("__h2"), F.col("id").alias("__id"), F.col("n").alias("__n"))
-    rows = marked.join(stay, ["__h1", "__h2"]).filter(F.col(id_col).eqNullSafe(F.col("__id")))
-    repeated = rows.filter("__n > 1").dropDuplicates(["__h1", "__h2", "__id"])
+    labelled = _labelled(docs, words, distance, id_col, text_col)
+    same = labelled.groupBy("component", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "n")
+    first = same.groupBy("component").agg(F.min(order).alias("first"))
+    stay = first.select(
+        F.col("first.doc_id").alias("__id"), F.col("first.mark").alias("__mark"), F.col("first.n").alias("__n")
+    )
+    # Keyed by id and text, so that a large group of copies is no large group here.
+    found = (F.col("__mark") == F.col("__own")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    rows = docs.withColumn("__own", _mark(text_col)).join(stay, found)
+    repeated = rows.filter("__n > 1").dropDuplicates(["__own", "__id"])
     return rows.filter("__n = 1").unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))
