@@ -24,9 +24,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays: fingerprints of three-word
+    shingles that link within two bits."""
     small_batches(spark)
-    return keep_one_per_group(docs)
+    return keep_one_per_group(docs, words=3, distance=2)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
