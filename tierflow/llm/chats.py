@@ -35,8 +35,8 @@ OTHER = ("[ROLE ", "]", "[/ROLE]")
 
 #: What text may not hold as it is, or the parser would act on it.
 CONTROL = re.compile(r"\\|</?s>|\[/?INST\]|\[/?SYS\]|\[ROLE |\[/ROLE\]")
-#: In the name of a role the bracket that ends it as well.
-CONTROL_ROLE = re.compile(CONTROL.pattern + r"|\]")
+#: The name of a role goes up to the bracket that ends it.
+CONTROL_ROLE = re.compile(r"\\|\]")
 ESCAPED = re.compile(r"\\(.)", re.S)
 
 #: Code points after which a formatted conversation goes on in a further row.
@@ -152,6 +152,7 @@ def format_chats(
     read. An empty table gives no rows.
     """
     find_package(turns.sparkSession)
+    most = PART
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chat = None
@@ -160,7 +161,7 @@ def format_chats(
             for key, role, text in zip(*(batch.column(c).to_pylist() for c in ("key", "role", "text"))):
                 if chat is None or chat.key != key:
                     out += chat.flush() if chat else []
-                    chat = _Chat(key)
+                    chat = _Chat(key, most)
                 out += chat.add(role, text)
             if out:
                 yield _rows(out)
@@ -181,13 +182,13 @@ def format_chats(
 class _Chat:
     """A conversation in the making."""
 
-    def __init__(self, key: int | None):
-        self.key, self.part, self.before = key, 0, 0
+    def __init__(self, key: int | None, most: int):
+        self.key, self.most, self.part, self.before = key, most, 0, 0
         self.shown, self.spans, self.length = [BEGIN], [], len(BEGIN)
 
     def add(self, role: str, text: str) -> list[tuple]:
         shown, begin, end = format_turn(role, text)
-        full = self.flush() if self.length and self.length + len(shown) > PART else []
+        full = self.flush() if self.length and self.length + len(shown) > self.most else []
         at = self.before + self.length
         if role == "assistant":
             self.spans.append({"begin": at + begin, "end": at + end})

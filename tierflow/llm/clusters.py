@@ -217,19 +217,21 @@ def cluster_vectors(
 def cluster_report(assigned: DataFrame, centroids: np.ndarray) -> DataFrame:
     """Adds cluster_inertia, inertia and centroid_sha256 to the rows of
     :func:`cluster_vectors`. Sums that pass 64 bits are null."""
-    spark = assigned.sparkSession
     done = stored(assigned, "cluster-assigned")
-    per = done.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("part"))
-    names = [(number, ",".join(map(str, row))) for number, row in enumerate(centroids.tolist())]
-    named = spark.createDataFrame(names, "cluster int, components string")
-    # One row per cluster from here on: small enough to go to every task.
-    per = per.crossJoin(F.broadcast(per.agg(F.sum("part").alias("every")))).join(F.broadcast(named), "cluster")
-    per = per.select(
-        "cluster",
-        F.expr("try_cast(part AS long)").alias("cluster_inertia"),
-        F.expr("try_cast(every AS long)").alias("inertia"),
-        F.sha2(F.col("components"), 256).alias("centroid_sha256"),
-    )
+    part = F.sum(F.col("distance").cast("decimal(38,0)")).cast("string")
+    # One row per cluster, here and in the table that goes to every task.
+    inertia = {r["cluster"]: int(r["part"]) for r in done.groupBy("cluster").agg(part.alias("part")).collect()}
+    rows = [
+        (number, _long(inertia[number]), _long(sum(inertia.values())), ",".join(map(str, row)))
+        for number, row in enumerate(centroids.tolist())
+        if number in inertia
+    ]
+    schema = "cluster int, cluster_inertia long, inertia long, components string"
+    per = assigned.sparkSession.createDataFrame(rows, schema)
     return done.join(F.broadcast(per), "cluster").select(
-        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2("components", 256).alias("centroid_sha256")
     )
+
+
+def _long(value: int) -> int | None:
+    return value if value < 1 << 63 else None

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow.llm.chats import format_chats, read_chats
+from tierflow.llm.clusters import cluster_report, cluster_vectors
 from tierflow.llm.common import small_batches, table
 from tierflow.llm.language import fit_language, predict_language
 from tierflow.llm.mixing import mix_sources, word_count
 from tierflow.llm.neighbours import nearest
 from tierflow.llm.pages import extract_main
+from tierflow.llm.phrases import collocations
 from tierflow.llm.pieces import encode_pieces, load_pieces
 from tierflow.llm.quality import fit_quality, score_quality
 from tierflow.llm.secrets import scan_secrets
@@ -72,6 +75,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], chats.schema)
+    return read_chats(format_chats(chats.unionByName(more)))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(*cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -85,5 +104,8 @@ QUERIES: dict[str, Query] = {
         op8_repeats,
         op9_near_vectors,
         op10_quality,
+        op11_collocations,
+        op12_chat_format,
+        op13_clusters,
     )
 }
