@@ -49,7 +49,7 @@ def awkward():
     return rows
 
 
-@pytest.mark.parametrize("chunk, hot, bits", [(phrases.CHUNK, phrases.HOT, phrases.BITS), (300, 4, 64)])
+@pytest.mark.parametrize("chunk, hot, bits", [(phrases.CHUNK, phrases.HOT, phrases.BITS), (2000, 4, 64)])
 def test_equals_brute_force(spark, monkeypatch, chunk, hot, bits):
     # Small chunks split every stripe, few hot words shard many, and a filter of 64 bits lets all through.
     monkeypatch.setattr(phrases, "CHUNK", chunk)

@@ -1,17 +1,17 @@
 """Phrase collocations by stripes.
 
 A stripe is what follows one prefix: an associative counter of next words. Tasks
-count stripes of the text they read, stripes of one prefix are merged elementwise,
-and the merged stripe gives all that is asked of its prefix at once: the frequencies
-of its extensions, its own frequency as the total, and its most frequent extension.
-Prefixes grow by a word per level, and a level only looks at words around prefixes
-that were frequent on the level before.
+count stripes of the text they read, stripes of one prefix are merged elementwise, and the
+merged stripes give all that is asked at once: the frequencies of a prefix's extensions,
+the most frequent of them, and, as an entry in the stripe of the prefix one word shorter,
+the total of the prefix itself. Prefixes grow by a word per level, and a level only counts
+where both the prefix and the words that end with the next one were frequent before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +29,18 @@ NO_LANG = "und"
 #: No UTF-8 text holds this byte, so it can stand for the end of a piece.
 BREAK = b"\xff"
 #: A-Z in lower case, ends of pieces as breaks; blanks and tabs separate words.
-FOLDED = bytes(BREAK[0] if b in ENDS else b + 32 if 65 <= b <= 90 else b for b in range(256))
+FOLDED = bytes(BREAK[0] if b in ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-#: Words a task counts before it hands its stripes on.
-CHUNK = 1 << 21
+#: Bytes of text a task counts before it hands its stripes on.
+CHUNK = 1 << 24
 #: Parts of the stripe of a prefix that at least one word in ``HOT`` is.
 SHARDS, HOT = 256, 1024
 #: Bits of the filter that tells frequent phrases apart, and the seed of its hashes.
 BITS, SEED = 1 << 24, 42
 
-STRIPE = "lang string, prefix string, shard int, nexts array<string>, counts array<long>"
+#: The next words of a stripe travel as one text, as none holds a blank, and their
+#: counts as 8 bytes each.
+STRIPE = "lang string, prefix string, shard int, nexts string, counts binary"
 MERGED = "lang string, prefix string, shard int, total long, most long, nexts array<string>, counts array<long>"
 
 
@@ -105,61 +107,67 @@ def _filter(phrases: DataFrame, words: int) -> Frequent:
     return Frequent(bits, codes)
 
 
-class _Ids(dict):
-    """Numbers of words by first sight."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-
-@dataclass
 class _Chunk:
-    """Words read so far, as numbers with 0 for breaks, and the language of each run."""
+    """Texts read so far."""
 
-    ids: _Ids = field(default_factory=lambda: _Ids({BREAK: 0}))
-    langs: _Ids = field(default_factory=_Ids)
-    parts: list[np.ndarray] = field(default_factory=list)
-    runs: list[tuple[int, int]] = field(default_factory=list)
-    size: int = 0
+    def __init__(self):
+        self.langs: dict[str, int] = {}
+        self.owners: list[int] = []
+        self.texts: list[bytes] = []
+        self.size = 0
 
     def add(self, lang: str, text: bytes) -> None:
-        words = text.translate(FOLDED).replace(BREAK, b" \xff ").split()
-        words.append(BREAK)
-        self.parts.append(np.fromiter(map(self.ids.__getitem__, words), dtype=np.int64, count=len(words)))
-        self.runs.append((self.langs[lang], len(words)))
-        self.size += len(words)
+        self.owners.append(self.langs.setdefault(lang, len(self.langs)))
+        self.texts.append(text.translate(FOLDED).replace(BREAK, b" \xff ") + b" \xff")
+        self.size += len(text)
+
+    def _words(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """All words as numbers with 0 for breaks, their languages, and their texts."""
+        split = pc.split_pattern(pa.array(self.texts, pa.binary()), " ")
+        lang = np.repeat(np.array(self.owners, dtype=np.int64), np.diff(split.offsets.to_numpy()))
+        coded = split.flatten().dictionary_encode()
+        names, found = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        # Numbers change places so that the break has 0; there is one after each text.
+        number = names.index(BREAK)
+        order = np.arange(len(names))
+        order[[0, number]] = order[[number, 0]]
+        names[0], names[number] = names[number], names[0]
+        word = order[found]
+        if b"" in names:
+            some = word != names.index(b"")
+            word, lang = word[some], lang[some]
+        return word, lang, names
 
     def stripes(self, width: int, frequent: Frequent | None) -> Iterator[pa.RecordBatch]:
-        """The stripes of all prefixes of ``width`` words. The next word is empty where
-        the piece ends or the words from the second on are not frequent."""
-        word = np.concatenate(self.parts)
-        numbers, lengths = zip(*self.runs)
-        lang = np.repeat(np.array(numbers, dtype=np.int64), lengths)
-        names = list(self.ids)
+        """The stripes of all prefixes of ``width`` words."""
+        word, lang, names = self._words()
         hashes = np.fromiter(map(_hash, names), dtype=np.uint64, count=len(names))
-        of_lang = np.fromiter((_hash(name.encode()) for name in self.langs), dtype=np.uint64, count=len(self.langs))
         if width == 0:
-            at = np.flatnonzero(word)
-            following, hot = word[at], np.ones(len(at), dtype=bool)
+            at, hot = np.flatnonzero(word), None
         else:
+            of_lang = np.fromiter((_hash(name.encode()) for name in self.langs), dtype=np.uint64, count=len(self.langs))
             at, codes = self._frequent(word, of_lang[lang], hashes, width, frequent)
             held = np.zeros(len(word) + 1, dtype=bool)
             held[at] = True
             # The phrase that begins a word later holds the next word; no break is in it.
-            following = np.where(held[at + 1], word[np.minimum(at + width, len(word) - 1)], 0)
-            hot = np.isin(codes, frequent.hot)
+            some = held[at + 1]
+            at, hot = at[some], np.isin(codes[some], frequent.hot)
         if not len(at):
             return
         base = len(names)
-        prefix = lang[at]
-        for place in range(width):
-            prefix = _dense(prefix * base + word[at + place])
-        keys, first, counts = np.unique(prefix * base + following, return_index=True, return_counts=True)
-        prefix, following, hot = prefix[first], following[first], hot[first]
-        shard = np.where(hot & (following > 0), (hashes[following] % np.uint64(SHARDS)).astype(np.int64), 0)
-        order = np.lexsort((following, shard, prefix))
-        prefix, shard, following, counts, at = prefix[order], shard[order], following[order], counts[order], at[first][order]
+        code = lang[at]
+        for place in range(width + 1):
+            code = _dense(code, base) * base + word[at + place]
+        order = np.argsort(code)
+        code = code[order]
+        starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        counts, at, first = np.diff(np.r_[starts, len(code)]), at[order[starts]], order[starts]
+        prefix, following = code[starts] // base, word[at + width]
+        shard = (hashes[following] % np.uint64(SHARDS)).astype(np.int64)
+        if hot is not None:
+            shard[~hot[first]] = 0
+        order = np.lexsort((shard, prefix))
+        prefix, shard, following, counts, at = prefix[order], shard[order], following[order], counts[order], at[order]
         starts = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (shard[1:] != shard[:-1])])
         shown = pa.array([b"", *names[1:]], pa.binary()).cast(pa.string())
         own = at[starts]
@@ -167,13 +175,14 @@ class _Chunk:
             texts = pc.binary_join_element_wise(*(shown.take(word[own + place]) for place in range(width)), " ")
         else:
             texts = pa.array([""] * len(own), pa.string())
-        offsets = pa.array(np.r_[starts, len(following)].astype(np.int32))
+        offsets = np.r_[starts, len(following)].astype(np.int32)
+        packed = pa.py_buffer(counts.astype("<i8").tobytes())
         columns = [
             pa.array(list(self.langs), pa.string()).take(lang[own]),
             texts,
             pa.array(shard[starts].astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, shown.take(following)),
-            pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64))),
+            pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), shown.take(following)), " "),
+            pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets * 8), packed]),
         ]
         made = pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "shard", "nexts", "counts"])
         for begin in range(0, made.num_rows, 1 << 14):
@@ -194,9 +203,9 @@ class _Chunk:
         return at[held], code[held]
 
 
-def _dense(codes: np.ndarray) -> np.ndarray:
+def _dense(codes: np.ndarray, base: int) -> np.ndarray:
     """Codes numbered afresh, in the same order, before they outgrow 64 bits."""
-    if len(codes) and codes.max() >= 1 << 40:
+    if len(codes) and int(codes.max()) * base >= 1 << 61:
         return np.unique(codes, return_inverse=True)[1]
     return codes
 
@@ -222,7 +231,7 @@ def stripes(docs: DataFrame, width: int, frequent: Frequent | None = None) -> Da
 
 
 def merge_stripes(parts: DataFrame, least: int) -> DataFrame:
-    """One stripe per (lang, prefix, shard), added up elementwise: its total over all
+    """One stripe per (lang, prefix, shard), added up elementwise: the total over all its
     next words, the most frequent one's count, and those that occur ``least`` times.
 
     A task holds one merged stripe at a time, whatever the number of its parts.
@@ -235,7 +244,7 @@ def merge_stripes(parts: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = pa.Table.from_batches([batch])
+            rows = _unpacked(batch)
             rows = rows if held is None else pa.concat_tables([held, rows])
             merged = _added(rows.combine_chunks(), keys)
             if merged.num_rows > 1:
@@ -247,6 +256,17 @@ def merge_stripes(parts: DataFrame, least: int) -> DataFrame:
     return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, MERGED)
 
 
+def _unpacked(batch: pa.RecordBatch) -> pa.Table:
+    packed = batch.column("counts")
+    offsets = np.frombuffer(packed.buffers()[1], dtype=np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    counts = np.frombuffer(packed.buffers()[2], dtype="<i8")[offsets[0] // 8 : offsets[-1] // 8]
+    bounds = pa.array((offsets - offsets[0]) // 8)
+    columns = {key: batch.column(key) for key in ("lang", "prefix", "shard")}
+    columns["nexts"] = pc.split_pattern(batch.column("nexts"), " ")
+    columns["counts"] = pa.ListArray.from_arrays(bounds, pa.array(counts))
+    return pa.table(columns)
+
+
 def _added(rows: pa.Table, keys: list[str]) -> pa.Table:
     """Stripes in key order, added up."""
     changed = np.zeros(rows.num_rows, dtype=bool)
@@ -262,7 +282,7 @@ def _added(rows: pa.Table, keys: list[str]) -> pa.Table:
     code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     size = max(1, len(words.dictionary))
     key = np.repeat(group, np.diff(offsets)) * size + code
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sums = np.add.reduceat(counts[order], starts)
@@ -278,8 +298,8 @@ def _summed(merged: pa.Table, least: int) -> pa.RecordBatch:
     counts, offsets = lists(merged.column("counts"))
     nexts = merged.column("nexts").combine_chunks().flatten()
     total = np.add.reduceat(counts, offsets[:-1])
-    real = pc.not_equal(nexts, "").to_numpy(zero_copy_only=False) & (counts >= least)
-    most = np.maximum.reduceat(np.where(real, counts, 0), offsets[:-1])
+    real = counts >= least
+    most = np.maximum.reduceat(counts, offsets[:-1])
     kept = np.r_[0, np.cumsum(real)][offsets].astype(np.int32)
     columns = [
         *(merged.column(key).combine_chunks() for key in ("lang", "prefix", "shard")),
@@ -299,13 +319,6 @@ def _extensions(merged: DataFrame) -> DataFrame:
     return one.select("lang", phrase.alias("phrase"), F.col("pair.counts").alias("f"))
 
 
-def _prefixes(merged: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, f, most): frequent prefixes, their totals and their most frequent
-    extension, over the parts of their stripes."""
-    both = merged.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.sum("total").alias("f"), F.max("most").alias("most"))
-    return both.filter(F.col("f") >= least)
-
-
 def collocations(
     docs: DataFrame,
     least: int = 30,
@@ -335,12 +348,12 @@ def collocations(
     sizes = merged.groupBy("lang").agg(F.sum("total").alias("n"))
     words = merged.agg(F.sum("total")).first()[0] or 0
     found = [_extensions(merged)]
-    totals = []
+    most = []
     for width in range(1, longest):
         frequent = _filter(found[-1], words)
         merged = stored(merge_stripes(stripes(rows, width, frequent), least), f"stripes-{width}")
         found.append(_extensions(merged))
-        totals.append(_prefixes(merged, least))
+        most.append(merged.select("lang", F.col("prefix").alias("phrase"), "most"))
 
     def union(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]
@@ -349,8 +362,7 @@ def collocations(
         return out
 
     candidates = union(found[1:]).select("lang", "phrase", F.col("f").alias("a"))
-    kept = _not_covered(candidates, union(totals))
-    scored = _scored(kept, union(totals), union(found[:-1]))
+    scored = _scored(_not_covered(candidates, union(most), least), union(found[:-1]))
     order = [F.desc("score"), F.desc("a"), "phrase"]
     # A language with most of the phrases is first cut down in parts.
     part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(64))).orderBy(*order)
@@ -360,21 +372,20 @@ def collocations(
     return best.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def _not_covered(candidates: DataFrame, totals: DataFrame) -> DataFrame:
+def _not_covered(candidates: DataFrame, most: DataFrame, least: int) -> DataFrame:
     """Candidates that no candidate a word longer covers: the stripe of the phrase tells
     its most frequent extension to the right, the phrases keyed by all but their first
     word those to the left."""
     tail = F.expr("substring(phrase, instr(phrase, ' ') + 1)")
-    longer = candidates.select("lang", tail.alias("phrase"), "a").filter(F.instr("phrase", " ") > 0)
-    left = longer.groupBy("lang", "phrase").agg(F.max("a").alias("left"))
-    both = candidates.join(left, ["lang", "phrase"], "left").join(totals.drop("f"), ["lang", "phrase"], "left")
-    most = F.greatest(F.coalesce("left", F.lit(0)), F.coalesce("most", F.lit(0)))
-    return both.filter(most * 5 < F.col("a") * 4).select("lang", "phrase", "a")
+    longer = candidates.select("lang", tail.alias("phrase"), F.col("a").alias("most")).filter(F.instr("phrase", " ") > 0)
+    # Parts of one stripe, and both sides, by one maximum per phrase.
+    sides = longer.unionByName(most.filter(F.col("most") >= least)).groupBy("lang", "phrase").agg(F.max("most").alias("most"))
+    both = candidates.join(sides, ["lang", "phrase"], "left")
+    return both.filter(F.coalesce("most", F.lit(0)) * 5 < F.col("a") * 4).select("lang", "phrase", "a")
 
 
-def _scored(candidates: DataFrame, totals: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Adds l, r and score of the weakest cut. The first part of a cut is a prefix and
-    has its count in a stripe's total, the second is looked up among the phrases."""
+def _scored(candidates: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Adds l, r and score of the weakest cut; ``phrases`` has the totals of its parts."""
     words = F.split("phrase", " ")
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.size(words) - 1)))
     cuts = cuts.select(
@@ -382,7 +393,7 @@ def _scored(candidates: DataFrame, totals: DataFrame, phrases: DataFrame) -> Dat
         F.array_join(F.slice(words, F.lit(1), F.col("k")), " ").alias("first"),
         F.array_join(F.slice(words, F.col("k") + 1, F.size(words)), " ").alias("rest"),
     )
-    left = totals.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
+    left = phrases.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     right = phrases.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
     counted = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"])
     # Whole division of decimals is exact; the product passes 64 bits.
