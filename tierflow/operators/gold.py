@@ -79,16 +79,20 @@ def user_rollup(users: DataFrame, size: str) -> DataFrame:
 def coarsen_rollup(rollup: DataFrame, size: str) -> DataFrame:
     """A rollup over larger windows from one over smaller windows, so hourly and
     daily tables can share one pass over the rows."""
-    return rollup.groupBy(
-        F.window(F.col("window.start"), size).alias("coarse"), "country_code", "user_key"
-    ).agg(
+    coarse = rollup.select(F.window(F.col("window.start"), size).alias("coarse"), *(c for c in rollup.columns if c != "window"))
+    return combine_rollup(coarse, "coarse").withColumnRenamed("coarse", "window")
+
+
+def combine_rollup(rollup: DataFrame, *window: str) -> DataFrame:
+    """One row per (window, country, user) from any number of them."""
+    return rollup.groupBy(*window, "country_code", "user_key").agg(
         F.sum("n").alias("n"),
         F.sum("age_sum").alias("age_sum"),
         F.sum("age_n").alias("age_n"),
         F.min("age_min").alias("age_min"),
         F.max("age_max").alias("age_max"),
         F.max("updated").alias("updated"),
-    ).withColumnRenamed("coarse", "window")
+    )
 
 
 def stats_from_rollup(rollup: DataFrame, shape: GoldShape) -> DataFrame:

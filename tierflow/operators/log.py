@@ -26,6 +26,15 @@ def current_rows(
     return found.select(*(c if c in keys else f"row.{c}" for c in log.columns if c != version))
 
 
+def newest_versions(
+    log: DataFrame, keys: Sequence[str], order: Sequence[str] = (), version: str = VERSION
+) -> DataFrame:
+    """The rows that :func:`current_rows` would pick, with their version."""
+    newest = F.struct(F.col(version).cast("long"), *order)
+    found = log.groupBy(*keys).agg(F.max_by(F.struct(*log.columns), newest).alias("row"))
+    return found.select("row.*")
+
+
 def compact_log(
     log: DataFrame, target: Target, keys: Sequence[str], through: int, order: Sequence[str] = ()
 ) -> None:

@@ -28,8 +28,12 @@ class Settings:
     #: Shared folder for checkpoints; each query takes its own folder below it.
     checkpoint_root: str | None = None
     trigger: Mapping[str, object] = field(default_factory=lambda: {"processingTime": "1 minute"})
-    #: Files a query that follows a table takes per micro-batch; no bound unless set.
-    max_files: int | None = None
+    #: Bytes of files that a query takes at a time: of a followed table whole batches, of
+    #: a folder of messages whole files, but at least one. No bound unless set.
+    max_bytes: int | None = None
+    #: What happens when a query with a checkpoint of its own finds batches of another in
+    #: its table: ``fail``, or ``continue`` after the newest of them.
+    takeover: str = "fail"
     #: Bound on lateness in gold; ``None`` accepts all late rows and keeps all state.
     watermark: str | None = None
 

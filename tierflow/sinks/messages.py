@@ -36,10 +36,11 @@ def send_messages(
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
     )
+    place = Target(topic, settings.message_format, logged=False)
     if batch_id is None:
-        append_table(binary, Target(topic, settings.message_format))
+        append_table(binary, place)
     else:
-        write_batch(binary, Target(topic, settings.message_format), batch_id)
+        write_batch(binary, place, batch_id)
 
 
 def send_records(records: DataFrame, settings: Settings, topic: str | None = None) -> int:

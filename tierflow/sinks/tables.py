@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import dataclasses
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierflow.sinks.commits import Commit, CommitLog, Files, Merged, TableInUse, current_writer, settled
+
 #: Formats whose partitions Spark itself can replace.
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 
@@ -28,11 +30,18 @@ class Target:
     rebalance: bool = False
     #: Name of a folder level above the batches, such as the day of the load.
     stamp: str | None = None
+    #: Whether batches are recorded in a commit log. Folders that stand for a topic
+    #: are not: anyone may add messages there.
+    logged: bool = True
 
     @property
     def is_files(self) -> bool:
         return self.fmt in FILE_FORMATS
 
+    @property
+    def has_log(self) -> bool:
+        return self.is_files and self.logged
+
 
 def _writer(
     df: DataFrame, target: Target, mode: str, partition_by: tuple[str, ...]
@@ -50,7 +59,15 @@ def _save(writer: DataFrameWriter, target: Target) -> None:
         writer.option("table", target.name).save()
 
 
+def save_rows(rows: DataFrame, target: Target, path: str, partition_by: tuple[str, ...]) -> None:
+    """Write rows to a folder of a file table."""
+    _writer(rows, target, "overwrite", partition_by).save(path)
+
+
 def append_table(df: DataFrame, target: Target) -> None:
+    """Add rows that are no batch. Readers of a commit log would not find them."""
+    if target.has_log and CommitLog(df.sparkSession, target.name).exists():
+        raise TableInUse(f"{target.name} is written in batches; use write_batch")
     _save(_writer(df, target, "append", target.partition_by), target)
 
 
@@ -68,65 +85,133 @@ def ensure_table(spark: SparkSession, target: Target, schema: StructType) -> Non
 STAGED = "_staged"
 
 
-def _folder(spark: SparkSession, path: str):
-    """Hadoop's file system and path objects."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
-    fs, place = _folder(spark, path)
-    fs.delete(place, True)
+    Files(spark, path).delete("")
 
 
-def _published(spark: SparkSession, target: Target, key: str, batch_id: int | str) -> list:
-    fs, pattern = _folder(spark, f"{target.name}/{target.stamp + '=*/' if target.stamp else ''}{key}={batch_id}")
-    return [found.getPath() for found in fs.globStatus(pattern) or ()]
+def _batches(target: Target, key: str, batch: int | str) -> str:
+    return f"{target.stamp + '=*/' if target.stamp else ''}{key}={batch}"
 
 
-def is_published(spark: SparkSession, target: Target, batch_id: int | str, key: str = "batch_id") -> bool:
+def is_published(spark: SparkSession, target: Target, batch_id: int, key: str = "batch_id") -> bool:
     """Whether a file table holds this batch already. Connectors cannot tell."""
-    return target.is_files and bool(_published(spark, target, key, batch_id))
+    if not target.is_files:
+        return False
+    if target.logged:
+        log = opened(spark, target, key)
+        return log.get(log.claim(batch_id)) is not None
+    return bool(Files(spark, target.name).matching(_batches(target, key, batch_id)))
+
+
+def opened(spark: SparkSession, target: Target, key: str = "batch_id") -> CommitLog:
+    """The log of a table, made where there is none: batches that lie there already,
+    from before there were logs, are recorded first."""
+    log = CommitLog(spark, target.name)
+    if not log.exists():
+        found = log.files.matching(_batches(target, key, "*"))
+        log.create()
+        for folder in found:
+            batch = int(folder.rpartition("=")[2])
+            log.put(Commit(batch, None, folder, log.files.data_files(folder)))
+    return log
 
 
 def write_batch(
     df: DataFrame,
     target: Target,
-    batch_id: int | str,
+    batch_id: int,
     key: str = "batch_id",
     stamp: str | None = None,
     replace: bool = False,
     filled: bool = False,
+    note: Callable[[str], Mapping[str, object]] | None = None,
 ) -> None:
     """Write one batch so that writing it again changes nothing, here or in whatever
     follows the table.
 
-    A file table gets the batch as one folder ``key=batch_id``: the files are written
-    aside and the folder is moved into place by one rename, so followers see all of it
-    or nothing. A batch that is in place already is left alone, with the names its
-    followers know; ``replace`` puts the new rows in its place instead, also if there
-    are none. (Object stores without an atomic rename need a table format of their
-    own.) ``stamp`` is the value of the folder level above, if the target has one.
-    A connector has no such handle: it gets an append, and an empty batch is not sent.
-    ``filled`` says that the caller knows of rows; the test for rows is an action of
-    its own, and an observed frame counts its first action only.
+    A file table gets the batch as one folder ``key=<batch>``: the files are written
+    aside, the folder is moved into place by one rename, and a commit in the table's log
+    makes it part of the table, with the name of the writing query and what ``note`` says
+    of the path of the folder. A batch that has its commit is left alone. One whose folder is in place without a commit, as
+    after a crash between the two, gets its commit only.
+
+    ``replace`` puts the new rows in the place of the old ones, also if there are none:
+    new files are written beside the old, one rename swaps the commit, and then the old
+    files go. Readers of the log see all old rows or all new ones at any moment, and what
+    a crash leaves behind goes when the batch is written next.
+
+    A query whose checkpoint is not the one that wrote the table is refused or goes on
+    after the newest batch, see :meth:`CommitLog.claim`. ``stamp`` is the value of the
+    folder level above, if the target has one. A connector has no such handle: it gets an
+    append, and an empty batch is not sent. ``filled`` says that the caller knows of rows;
+    the test for rows is an action of its own, and an observed frame counts its first
+    action only.
     """
     if not target.is_files:
         if filled or not df.isEmpty():
             append_table(df, target)
         return
     spark = df.sparkSession
-    before = _published(spark, target, key, batch_id)
-    if before and not replace:
-        return
-    level = f"{target.stamp}={stamp}/" if target.stamp else ""
-    fs, staged = _folder(spark, f"{target.name}/{STAGED}/{key}={batch_id}")
     rows = df.drop(*{key, target.stamp} & set(df.columns))
     below = tuple(c for c in target.partition_by if c != key)
-    _writer(rows, target, "overwrite", below).save(staged.toString())
-    for old in before:
-        fs.delete(old, True)
-    _, place = _folder(spark, f"{target.name}/{level}{key}={batch_id}")
-    fs.mkdirs(place.getParent())
-    if not fs.rename(staged, place):
-        raise OSError(f"could not move {staged.toString()} to {place.toString()}")
+    if not target.logged:
+        _move_in(rows, target, Files(spark, target.name), key, batch_id, stamp, below)
+        return
+    log = opened(spark, target, key)
+    batch, writer = log.claim(batch_id), current_writer()
+    before = log.get(batch)
+    if isinstance(before, Merged):
+        if replace:
+            raise TableInUse(f"batch {batch} of {target.name} is merged with others and cannot be replaced")
+        return
+    if before is not None and writer and before.writer not in (None, writer.name):
+        raise TableInUse(f"batch {batch} of {target.name} was written by {before.writer}, not by {writer.name}")
+    who = writer.name if writer else None
+    if before is not None and replace:
+        _replace_files(rows, target, log, before, f"{key}={batch}", below, Commit(batch, who))
+    elif before is None:
+        folder = _move_in(rows, target, log.files, key, batch, stamp, below)
+        files = log.files.data_files(folder)
+        log.put(Commit(batch, who, folder, files, note=dict(note(f"{target.name}/{folder}")) if note else {}))
+
+
+def commit_empty(spark: SparkSession, target: Target, batch_id: int, key: str = "batch_id") -> None:
+    """Record that a batch has no rows for a table."""
+    if target.has_log:
+        log, writer = opened(spark, target, key), current_writer()
+        batch = log.claim(batch_id)
+        if log.get(batch) is None:
+            log.put(Commit(batch, writer.name if writer else None))
+
+
+def _move_in(
+    rows: DataFrame, target: Target, files: Files, key: str, batch: int, stamp: str | None, below: tuple[str, ...]
+) -> str:
+    """Write a batch aside and move it in, unless it is there. Returns its folder."""
+    there = files.matching(_batches(target, key, batch))
+    if there:
+        return there[0]
+    staged = f"{STAGED}/{key}={batch}"
+    _writer(rows, target, "overwrite", below).save(f"{target.name}/{staged}")
+    folder = f"{target.stamp}={stamp}/{key}={batch}" if target.stamp else f"{key}={batch}"
+    files.move(staged, folder)
+    return folder
+
+
+def _replace_files(
+    rows: DataFrame, target: Target, log: CommitLog, before: Commit, folder: str, below: tuple[str, ...], after: Commit
+) -> None:
+    folder = before.folder or folder
+    # Left over from a try that did not get to its commit, or not past it.
+    for name in log.files.data_files(folder).keys() - before.files.keys():
+        log.files.delete(f"{folder}/{name}")
+    # From here to the end the folder holds more than the table does.
+    log.put(dataclasses.replace(before, folder=folder, settled=False))
+    _writer(rows, target, "append", below).save(f"{target.name}/{folder}")
+    found = log.files.data_files(folder)
+    new = {name: size for name, size in found.items() if name not in before.files}
+    swapped = dataclasses.replace(after, folder=folder, files=new, settled=False)
+    log.put(swapped)
+    for name in before.files:
+        log.files.delete(f"{folder}/{name}")
+    log.put(settled(swapped))

@@ -29,12 +29,17 @@ def stream_messages(
     starting: str = "latest",
 ) -> DataFrame:
     """Subscribe to one topic, from its end (``latest``) or from its start
-    (``earliest``). A file format reads envelope rows from the folder ``topic``."""
+    (``earliest``). A file format reads envelope rows from the folder ``topic``, about
+    ``max_bytes`` of files at a time; for brokers set ``maxOffsetsPerTrigger`` among the
+    message options."""
     topic = topic or settings.topic
     if settings.message_format == "kafka":
         reader = spark.readStream.format("kafka").options(**kafka_options(settings, topic, starting))
         return reader.load()
-    return stream_files(spark, topic, settings.message_format, settings.message_options)
+    options = dict(settings.message_options)
+    if settings.max_bytes is not None:
+        options.setdefault("maxBytesPerTrigger", settings.max_bytes)
+    return stream_files(spark, topic, settings.message_format, options)
 
 
 def stream_files(

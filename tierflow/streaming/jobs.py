@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,6 +14,7 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType
 from tierflow.operators.bronze import INGEST_DATE
 from tierflow.operators.gold import DAILY, HOURLY, GoldShape, load_gold
 from tierflow.operators.latest import latest_users
+from tierflow.operators.log import newest_versions
 from tierflow.operators.messages import decode_messages, encode_gold, encode_messages
 from tierflow.operators.quality import score_quality
 from tierflow.operators.silver import (
@@ -24,11 +27,15 @@ from tierflow.operators.silver import (
 from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA
 from tierflow.session import check_session, shared_dir
 from tierflow.settings import Settings
+from tierflow.sinks.commits import CommitLog, Files, TableInUse, Writer, writing_as
+from tierflow.sinks.merging import FAN, LARGE, merge_batches
 from tierflow.sinks.messages import send_messages
-from tierflow.sinks.tables import Target, ensure_table
+from tierflow.sinks.tables import Target
+from tierflow.sources.feeds import Feed
 from tierflow.sources.messages import stream_messages
-from tierflow.sources.tables import stream_table
+from tierflow.sources.tables import read_table
 from tierflow.streaming.gold import gold_writer
+from tierflow.streaming.latest import BUCKET, latest_writer
 from tierflow.streaming.stats import OUTPUT_MODES, stream_country_stats
 from tierflow.streaming.writers import LOAD_ID, BatchWriter, bronze_writer, silver_writer, table_writer
 
@@ -69,36 +76,81 @@ def outward(settings: Settings, name: str, *partition_by: str) -> Target:
 
 
 def start(
-    df: DataFrame, name: str, write: BatchWriter, settings: Settings, mode: str = "append"
+    rows: DataFrame | Feed, name: str, write: BatchWriter, settings: Settings, mode: str = "append"
 ) -> StreamingQuery:
     """Start one named query with a checkpoint folder of its own.
 
     Restarting under the same name resumes. A new checkpoint counts batches from 0
-    again, so it needs a new target table.
+    again: ``Settings.takeover`` says what happens to a table that has some already. A
+    query that follows a table by a feed goes on where its own tables end, whatever
+    its checkpoint.
     """
-    root = settings.checkpoint_root or f"{shared_dir(df.sparkSession)}/streams"
-    writer = df.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
-    writer = writer.option("checkpointLocation", f"{root.rstrip('/')}/{name}")
-    return writer.trigger(**settings.trigger).start()
+    spark = rows.spark if isinstance(rows, Feed) else rows.sparkSession
+    root = (settings.checkpoint_root or f"{shared_dir(spark)}/streams").rstrip("/")
+    known, identity = threading.Event(), {}
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        known.wait()
+        with writing_as(Writer(identity["id"], settings.takeover)):
+            write(df, batch_id)
+
+    def drain(_: DataFrame, __: int) -> None:
+        follow_up(rows, name, write, settings, root)
+
+    stream, each = (rows.signals(), drain) if isinstance(rows, Feed) else (rows, run)
+    writer = stream.writeStream.queryName(name).outputMode(mode).foreachBatch(each)
+    writer = writer.option("checkpointLocation", f"{root}/{name}")
+    query = writer.trigger(**settings.trigger).start()
+    identity["id"] = query.id
+    known.set()
+    return query
+
+
+def follow_up(feed: Feed, name: str, write: BatchWriter, settings: Settings, root: str) -> None:
+    """Hand on all batches of a table that the query has not written yet, under their
+    own numbers, some ``max_bytes`` at a time.
+
+    What is written is asked of the query's tables, all of which must have a batch.
+    Connectors cannot tell: for them the number is kept beside the checkpoints, and a
+    group that was cut off is sent again.
+    """
+    spark, tables = feed.spark, getattr(write, "tables", ())
+    me = Writer(f"{name}-after-{feed.target.name.rsplit('/', 1)[-1]}")
+    beside, record = Files(spark, root), f"{name}.followed"
+    logs = [CommitLog(spark, table.name) for table in tables if table.has_log]
+    whole = bool(logs) and len(logs) == len(tables)
+    if whole:
+        done = [log.newest() for log in logs]
+        for log, newest in zip(logs, done):
+            if newest is not None and not log.wrote(me.name):
+                raise TableInUse(f"{log.files.root} has batches up to {newest} that {me.name} did not write")
+        after = None if None in done else min(done)
+    else:
+        text = beside.read(record)
+        after = int(text) if text else None
+    with writing_as(me):
+        for group in feed.groups(after, settings.max_bytes):
+            write(feed.rows(group), group.last)
+            if not whole:
+                beside.write(record, str(group.last))
 
 
 def bronze_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
-    table = replace(target(settings, BRONZE, *FOLLOWED[BRONZE][1]), stamp=INGEST_DATE)
-    return start(decoded, "bronze_writer", bronze_writer(table), settings)
+    return start(decoded, "bronze_writer", bronze_writer(followed(settings, BRONZE)), settings)
 
 
-def bronze_copy(bronze: DataFrame, settings: Settings) -> StreamingQuery:
+def bronze_copy(bronze: DataFrame | Feed, settings: Settings) -> StreamingQuery:
     """Bronze rows to the outward tables as well."""
     writer = table_writer(outward(settings, "bronze_users_copy", "event_date"), key=LOAD_ID)
     return start(bronze, "bronze_copy", writer, settings)
 
 
-def silver_query(bronze: DataFrame, settings: Settings) -> StreamingQuery:
+def silver_query(bronze: DataFrame | Feed, settings: Settings) -> StreamingQuery:
     writer = silver_writer(
         outward(settings, "silver_users", "event_date"),
         outward(settings, "silver_quarantine", "event_date"),
     )
-    return start(score_quality(bronze), "silver_transformer", writer, settings)
+    return start(bronze.transform(score_quality), "silver_transformer", writer, settings)
 
 
 def cleaned_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
@@ -108,20 +160,24 @@ def cleaned_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
     return start(clean_users(decoded, keep_envelope=True), CLEANED, writer, settings)
 
 
-def dlq_query(cleaned: DataFrame, settings: Settings) -> StreamingQuery:
+def dlq_query(cleaned: DataFrame | Feed, settings: Settings) -> StreamingQuery:
     writer = table_writer(outward(settings, "invalid_users_dlq"))
-    rejected = invalid_users(cleaned.drop(*ENVELOPE))
+    rejected = cleaned.transform(lambda rows: invalid_users(rows.drop(*ENVELOPE)))
     return start(rejected, "invalid_users_dlq", writer, settings)
 
 
-def latest_query(cleaned: DataFrame, settings: Settings) -> StreamingQuery:
-    """Update log of the newest values per user."""
-    writer = table_writer(outward(settings, "valid_users_table"))
-    return start(latest_users(cleaned), "valid_users_table", writer, settings, "update")
+def latest_query(cleaned: DataFrame | Feed, settings: Settings) -> StreamingQuery:
+    """Update log of the newest values per user. From a feed they are kept in a stored
+    table, from a stream of rows in streaming state."""
+    output = outward(settings, "valid_users_table")
+    if isinstance(cleaned, Feed):
+        store = replace(target(settings, "valid_users_store", BUCKET), rebalance=True)
+        return start(cleaned, "valid_users_table", latest_writer(store, output), settings)
+    return start(latest_users(cleaned), "valid_users_table", table_writer(output), settings, "update")
 
 
 def gold_query(
-    cleaned: DataFrame,
+    cleaned: DataFrame | Feed,
     shape: GoldShape | Iterable[GoldShape],
     settings: Settings,
     distinct: str = "exact",
@@ -129,8 +185,10 @@ def gold_query(
 ) -> StreamingQuery:
     """Update log of one gold table (final rows only for ``closed``), or of several
     from one rollup. With ``topic`` the changed rows are published as messages too."""
-    valid = valid_users(cleaned)
+    valid = cleaned.transform(valid_users)
     if distinct != "exact":
+        if isinstance(valid, Feed):
+            raise ValueError(f"{distinct} statistics keep streaming state and need a stream of rows")
         stats = stream_country_stats(valid, shape, distinct, settings.watermark)
         return start(stats, shape.name, table_writer(outward(settings, shape.name)), settings, OUTPUT_MODES[distinct])
     shapes = (shape,) if isinstance(shape, GoldShape) else tuple(shape)
@@ -176,21 +234,42 @@ def _layout(name: str) -> tuple[StructType, tuple[str, ...]]:
     return schema, (*above, "batch_id", *below)
 
 
-def follow(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
+def follow(spark: SparkSession, settings: Settings, name: str) -> Feed:
     """The rows another query adds to a table, as they come; the table may be empty."""
-    schema, folders = _layout(name)
-    ensure_table(spark, target(settings, name, *folders), schema)
-    rows = stream_table(
-        spark,
-        table_name(settings, name),
-        schema,
-        settings.table_format,
-        settings.table_options,
-        settings.max_files,
-        folders,
-    )
-    return rows.select(*FOLLOWED[name][0].fieldNames())
+    schema, _ = _layout(name)
+    return Feed(spark, followed(settings, name), schema, tuple(FOLLOWED[name][0].fieldNames()))
+
 
+def followed(settings: Settings, name: str) -> Target:
+    table = target(settings, name, *FOLLOWED[name][1])
+    return replace(table, stamp=INGEST_DATE) if name == BRONZE else table
+
+
+def maintain(spark: SparkSession, settings: Settings, keep: int = 1, fan: int = FAN, large: int = LARGE) -> dict[str, int]:
+    """Merge old batches of the followed tables and of the update logs that lie in files;
+    returns the merges per table. A log keeps the newest version of each key.
+
+    May run beside the queries: what they read and write next is never touched.
+    """
+    done = {}
+    for name in FOLLOWED:
+        if CommitLog(spark, table_name(settings, name)).exists():
+            done[name] = merge_batches(spark, followed(settings, name), _layout(name)[0], keep, fan=fan, large=large)
+    for name, keys, order in LOGS:
+        table = outward(settings, name)
+        if table.has_log and CommitLog(spark, table.name).exists():
+            schema = read_table(spark, table.name, table.fmt, table.options).schema
+            combine = partial(newest_versions, keys=keys, order=order)
+            done[name] = merge_batches(spark, table, schema, keep, combine, fan=fan)
+    return done
+
+
+#: Update logs: their keys, and what orders the versions of one batch.
+LOGS = (
+    ("valid_users_table", ("user_key",), ()),
+    (DAILY.name, DAILY.keys, ("last_updated",)),
+    (HOURLY.name, HOURLY.keys, ("last_updated",)),
+)
 
 LAYERS = ("bronze", "cleaned", "silver", "dlq", "latest", "daily", "hourly")
 
@@ -214,11 +293,10 @@ def run_layers(
         return cleaned_query(decode_messages(messages, INPUT_FIELDS), settings)
 
     check_session(spark)
-    followed = {"silver": BRONZE, "bronze_copy": BRONZE}
-    followed |= dict.fromkeys(("dlq", "latest", "daily", "hourly", "gold"), CLEANED)
+    sources = {"silver": BRONZE, "bronze_copy": BRONZE}
+    sources |= dict.fromkeys(("dlq", "latest", "daily", "hourly", "gold"), CLEANED)
     chosen = list(layers)
-    # All tables exist before any query writes to one.
-    rows = {layer: follow(spark, settings, followed[layer]) for layer in chosen if layer in followed}
+    rows = {layer: follow(spark, settings, sources[layer]) for layer in chosen if layer in sources}
     starters = {
         "bronze": bronze,
         "cleaned": cleaned,

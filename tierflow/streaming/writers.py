@@ -13,12 +13,19 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tierflow.operators.bronze import to_bronze
 from tierflow.operators.quality import quality_counts, split_by_quality
-from tierflow.sinks.tables import Target, ensure_table, is_published, write_batch
+from tierflow.sinks.tables import Target, commit_empty, ensure_table, is_published, write_batch
 
 logger = logging.getLogger(__name__)
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+
+def writes(write: BatchWriter, *tables: Target) -> BatchWriter:
+    """Name the tables that hold a batch when it is done."""
+    write.tables = tables
+    return write
+
+
 #: Layout column of tables whose rows already carry another layer's batch id.
 LOAD_ID = "load_id"
 
@@ -47,7 +54,7 @@ def bronze_writer(target: Target) -> BatchWriter:
         write_batch(counted, target, batch_id, stamp=now.date().isoformat(), filled=True)
         logger.info("bronze batch %s: %s records", batch_id, seen.get["records"])
 
-    return write
+    return writes(write, target)
 
 
 def silver_writer(complete: Target, quarantine: Target) -> BatchWriter:
@@ -70,11 +77,12 @@ def silver_writer(complete: Target, quarantine: Target) -> BatchWriter:
                 else:
                     # Readers find a table, though an empty one.
                     ensure_table(df.sparkSession, replace(target, partition_by=(LOAD_ID,)), _layout(rows))
+                    commit_empty(df.sparkSession, target, batch_id, key=LOAD_ID)
             logger.info("silver batch %s: %s", batch_id, counts)
         finally:
             cached.unpersist()
 
-    return write
+    return writes(write, complete, quarantine)
 
 
 def table_writer(target: Target, key: str = "batch_id", sample: int = 0) -> BatchWriter:
@@ -86,4 +94,4 @@ def table_writer(target: Target, key: str = "batch_id", sample: int = 0) -> Batc
             df.limit(sample).show(truncate=False)
         write_batch(df, target, batch_id, key=key)
 
-    return write
+    return writes(write, target)
