@@ -27,7 +27,12 @@ from tierflow.operators.gold import (
 )
 from tierflow.operators.latest import current_latest_users, latest_users
 from tierflow.operators.log import compact_log
-from tierflow.operators.messages import decode_messages, encode_gold, encode_messages
+from tierflow.operators.messages import (
+    decode_messages,
+    encode_gold,
+    encode_messages,
+    split_malformed,
+)
 from tierflow.operators.quality import (
     flag_quality,
     quality_summary,
@@ -37,6 +42,7 @@ from tierflow.operators.quality import (
 from tierflow.operators.reconcile import missing_keys, reconcile_counts
 from tierflow.operators.records import normalise_records
 from tierflow.operators.silver import INPUT_FIELDS, clean_users, invalid_users, valid_users
+from tierflow.operators.unique import unique_records
 from tierflow.plans import inputs
 from tierflow.schemas import BRONZE_SCHEMA, SILVER_SCHEMA, USER_SCHEMA
 from tierflow.session import work_dir
@@ -106,6 +112,22 @@ def _decode_envelope(spark, sf_dir):
     return decode_messages(inputs.envelopes(_raw(spark, sf_dir)))
 
 
+@query("malformed_messages")
+def _malformed_messages(spark, sf_dir):
+    """What is set aside of messages of which some are cut off, no JSON or without text."""
+    sent = inputs.faulty(inputs.envelopes(_raw(spark, sf_dir)))
+    return split_malformed(decode_messages(sent, malformed=True))[1]
+
+
+@query("unique_records")
+def _unique_records(spark, sf_dir):
+    """The first message of each record, all records having been sent twice."""
+    raw = _raw(spark, sf_dir)
+    again = raw.withColumn("offset", F.col("offset") + 10_000_000)
+    found = unique_records(raw.unionByName(again), "1 hour")
+    return found.select("record_hash", "offset", "user_id", "uuid", "fetched_at")
+
+
 # Bronze
 
 
@@ -489,3 +511,97 @@ def _stream_silver_users(spark, sf_dir):
         for name in ("silver_users", "silver_quarantine")
     )
     return kept.unionByName(rejected)
+
+
+# Streams that go on: new checkpoints, late rows, merged batches, repeats
+
+
+def _messages(spark: SparkSession, sf_dir: str, settings: Settings, part: str = "true", files: int = 1) -> None:
+    """Add the messages of some records to a topic, in a number of files."""
+    sent = inputs.envelopes(inputs.as_instants(_raw(spark, sf_dir))).filter(part)
+    sent.repartition(files, "offset").write.mode("append").format(settings.message_format).save(settings.topic)
+
+
+def _topic(spark: SparkSession, name: str, **more) -> Settings:
+    settings = _fresh(spark, name)
+    return replace(settings, message_format="parquet", topic=f"{settings.table_root}/topic", **more)
+
+
+def _drained(spark: SparkSession, settings: Settings, *layers: str) -> None:
+    """Let layers use up what there is, one after another."""
+    for start_layer in jobs.layer_starters(spark, settings, layers).values():
+        _finished(start_layer())
+
+
+@query("stream_new_checkpoint")
+def _stream_new_checkpoint(spark, sf_dir):
+    """Two halves of the messages by queries with checkpoints of their own: the second
+    ones go on after the batches of the first."""
+    settings = _topic(spark, "checkpoints")
+    for half in (0, 1):
+        settings = replace(
+            settings, topic=f"{settings.table_root}/topic{half}", takeover="continue",
+            checkpoint_root=f"{settings.checkpoint_root}{half}",
+        )
+        _messages(spark, sf_dir, settings, f"offset % 2 = {half}")
+        _drained(spark, settings, "cleaned", "daily")
+    return current_gold(read_table(spark, jobs.table_name(settings, DAILY.name)), DAILY)
+
+
+@query("stream_late_rows")
+def _stream_late_rows(spark, sf_dir):
+    """Gold with a bound on lateness: the second half of the messages comes after the
+    first, and its rows count only where their day had not ended a day before the newest."""
+    settings = _topic(spark, "late", watermark="1 day")
+    for half in (0, 1):
+        _messages(spark, sf_dir, settings, f"offset % 2 = {half}")
+        _drained(spark, settings, "cleaned", "daily")
+    return current_gold(read_table(spark, jobs.table_name(settings, DAILY.name)), DAILY)
+
+
+def _many_batches(spark: SparkSession, sf_dir: str, name: str, *layers: str) -> Settings:
+    """Six batches, a file each, of which old ones are merged half way and at the end."""
+    settings = _topic(spark, name, max_bytes=1)
+    for half in (0, 1):
+        _messages(spark, sf_dir, settings, f"offset % 2 = {half}", files=3)
+        _drained(spark, settings, "cleaned", *layers)
+        jobs.maintain(spark, settings, fan=2)
+    return settings
+
+
+@query("stream_merged_gold")
+def _stream_merged_gold(spark, sf_dir):
+    settings = _many_batches(spark, sf_dir, "merged_gold", "daily")
+    return current_gold(read_table(spark, jobs.table_name(settings, DAILY.name)), DAILY)
+
+
+@query("stream_merged_latest_users")
+def _stream_merged_latest_users(spark, sf_dir):
+    settings = _many_batches(spark, sf_dir, "merged_latest", "latest")
+    log = read_table(spark, jobs.table_name(settings, "valid_users_table"))
+    return _plain(current_latest_users(log), "last_seen")
+
+
+@query("stream_unique_records")
+def _stream_unique_records(spark, sf_dir):
+    """Bronze of messages that are all sent again, before and after a restart."""
+    settings = _topic(spark, "unique", unique_within="3650 days")
+    for _ in range(2):
+        _messages(spark, sf_dir, settings)
+        _drained(spark, settings, "bronze")
+    bronze = read_table(spark, jobs.table_name(settings, jobs.BRONZE), schema=BRONZE_SCHEMA)
+    return bronze.select(record_hash().alias("record_hash"), "user_id", "uuid", "fetched_at")
+
+
+@query("stream_malformed_messages")
+def _stream_malformed_messages(spark, sf_dir):
+    """Both sides of the split: bronze rows and what was set aside, by offset."""
+    settings = _topic(spark, "malformed", split_malformed=True)
+    sent = inputs.faulty(inputs.envelopes(inputs.as_instants(_raw(spark, sf_dir))))
+    sent.write.parquet(settings.topic)
+    _drained(spark, settings, "bronze")
+    bronze = read_table(spark, jobs.table_name(settings, jobs.BRONZE), schema=BRONZE_SCHEMA)
+    aside = read_table(spark, jobs.table_name(settings, "malformed_messages"))
+    return bronze.select("offset", "username", F.lit(None).cast("string").alias("error_type")).unionByName(
+        aside.select("offset", F.lit(None).cast("string").alias("username"), "error_type")
+    )

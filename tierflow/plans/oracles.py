@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from tierflow.functions.checks import AGE_HIGH, AGE_LOW, EMAIL_LIKE, EMAIL_REGEX, INVALID, VALID
 from tierflow.functions.text import COUNTRY_SPELLINGS
-from tierflow.plans.inputs import API_EXPRESSIONS, ENVELOPE_EXPRESSIONS, USER_EXPRESSIONS
+from tierflow.plans.inputs import (
+    API_EXPRESSIONS,
+    ENVELOPE_EXPRESSIONS,
+    FAULTY_VALUE,
+    USER_EXPRESSIONS,
+)
 
 
 def _list(expressions: dict[str, str]) -> str:
@@ -136,7 +141,30 @@ _KEY = "coalesce(nullif(user_id, ''), nullif(uuid, ''), sha256({}))".format(
 )
 _SPAN = "kafka_timestamp >= TIMESTAMP '2024-01-14 12:00:00' AND kafka_timestamp < TIMESTAMP '2024-01-16 12:00:00'"
 
+_VALUE = _PACKED.format(", ".join(f"{c} := {c}" for c in USER_EXPRESSIONS))
+_FAULTY = f"""{_RAW}, messages AS (
+  SELECT *, {_VALUE} AS whole FROM raw_users
+), sent AS (
+  SELECT *, {FAULTY_VALUE.format(offset='"offset"', value="whole")} AS value FROM messages
+), judged_messages AS (
+  SELECT *, CASE WHEN coalesce(value, '') = '' THEN 'EMPTY_MESSAGE' WHEN value <> whole THEN 'MALFORMED_JSON' END AS error_type
+  FROM sent
+)"""
+# Rows of the second half count where their day ends less than a day before the newest.
+_ON_TIME = _DAILY.replace("FROM valid GROUP BY", """FROM valid
+  WHERE "offset" % 2 = 0 OR date_trunc('day', kafka_timestamp) + INTERVAL 1 DAY
+    > (SELECT max(kafka_timestamp) - INTERVAL 1 DAY FROM valid WHERE "offset" % 2 = 0)
+  GROUP BY""")
+
 ORACLES: dict[str, str] = {
+    "malformed_messages": f"""WITH {_FAULTY} SELECT coalesce(value, '') AS value, error_type, kafka_timestamp,
+        "offset", "partition" FROM judged_messages WHERE error_type IS NOT NULL""",
+    "stream_malformed_messages": f"""WITH {_FAULTY} SELECT "offset",
+        CASE WHEN error_type IS NULL THEN username END AS username, error_type FROM judged_messages""",
+    "unique_records": f"""WITH {_SCORED} SELECT record_hash, "offset", user_id, uuid, fetched_at FROM scored
+        QUALIFY row_number() OVER (PARTITION BY record_hash ORDER BY kafka_timestamp, "partition", "offset") = 1""",
+    "stream_unique_records": f"""WITH {_SCORED} SELECT DISTINCT record_hash, user_id, uuid, fetched_at FROM scored""",
+    "stream_late_rows": f"WITH {_ON_TIME} SELECT * FROM daily",
     "normalise_records": f"""SELECT {_list({
         "user_id": API_EXPRESSIONS["id"],
         **{k: v for k, v in API_EXPRESSIONS.items() if k != "id"},
@@ -229,6 +257,9 @@ ORACLES |= {
         WHERE {_SPAN}""",
     "stream_replay_gold": ORACLES["daily_country_stats"],
     "stream_gold_both": ORACLES["hourly_country_stats"],
+    "stream_new_checkpoint": ORACLES["daily_country_stats"],
+    "stream_merged_gold": ORACLES["daily_country_stats"],
+    "stream_merged_latest_users": ORACLES["latest_users"],
     "stream_gold_messages": ORACLES["load_gold"],
     "compacted_latest_users": ORACLES["latest_users"],
 }

@@ -31,6 +31,10 @@ class Settings:
     #: Bytes of files that a query takes at a time: of a followed table whole batches, of
     #: a folder of messages whole files, but at least one. No bound unless set.
     max_bytes: int | None = None
+    #: Set messages aside that are no JSON object, instead of keeping rows of nulls.
+    split_malformed: bool = False
+    #: Drop repeats of a record that come within this span of message time.
+    unique_within: str | None = None
     #: What happens when a query with a checkpoint of its own finds batches of another in
     #: its table: ``fail``, or ``continue`` after the newest of them.
     takeover: str = "fail"

@@ -125,9 +125,9 @@ def write_batch(
     replace: bool = False,
     filled: bool = False,
     note: Callable[[str], Mapping[str, object]] | None = None,
-) -> None:
+) -> bool:
     """Write one batch so that writing it again changes nothing, here or in whatever
-    follows the table.
+    follows the table. Returns whether rows were written now.
 
     A file table gets the batch as one folder ``key=<batch>``: the files are written
     aside, the folder is moved into place by one rename, and a commit in the table's log
@@ -148,31 +148,34 @@ def write_batch(
     action only.
     """
     if not target.is_files:
-        if filled or not df.isEmpty():
-            append_table(df, target)
-        return
+        if not filled and df.isEmpty():
+            return False
+        append_table(df, target)
+        return True
     spark = df.sparkSession
     rows = df.drop(*{key, target.stamp} & set(df.columns))
     below = tuple(c for c in target.partition_by if c != key)
     if not target.logged:
-        _move_in(rows, target, Files(spark, target.name), key, batch_id, stamp, below)
-        return
+        return _move_in(rows, target, Files(spark, target.name), key, batch_id, stamp, below)[1]
     log = opened(spark, target, key)
     batch, writer = log.claim(batch_id), current_writer()
     before = log.get(batch)
     if isinstance(before, Merged):
         if replace:
             raise TableInUse(f"batch {batch} of {target.name} is merged with others and cannot be replaced")
-        return
+        return False
     if before is not None and writer and before.writer not in (None, writer.name):
         raise TableInUse(f"batch {batch} of {target.name} was written by {before.writer}, not by {writer.name}")
     who = writer.name if writer else None
     if before is not None and replace:
         _replace_files(rows, target, log, before, f"{key}={batch}", below, Commit(batch, who))
-    elif before is None:
-        folder = _move_in(rows, target, log.files, key, batch, stamp, below)
-        files = log.files.data_files(folder)
-        log.put(Commit(batch, who, folder, files, note=dict(note(f"{target.name}/{folder}")) if note else {}))
+        return True
+    if before is not None:
+        return False
+    folder, wrote = _move_in(rows, target, log.files, key, batch, stamp, below)
+    kept = dict(note(f"{target.name}/{folder}")) if note else {}
+    log.put(Commit(batch, who, folder, log.files.data_files(folder), note=kept))
+    return wrote
 
 
 def commit_empty(spark: SparkSession, target: Target, batch_id: int, key: str = "batch_id") -> None:
@@ -186,16 +189,17 @@ def commit_empty(spark: SparkSession, target: Target, batch_id: int, key: str =
 
 def _move_in(
     rows: DataFrame, target: Target, files: Files, key: str, batch: int, stamp: str | None, below: tuple[str, ...]
-) -> str:
-    """Write a batch aside and move it in, unless it is there. Returns its folder."""
+) -> tuple[str, bool]:
+    """Write a batch aside and move it in, unless it is there. Returns its folder, and
+    whether it was written now."""
     there = files.matching(_batches(target, key, batch))
     if there:
-        return there[0]
+        return there[0], False
     staged = f"{STAGED}/{key}={batch}"
     _writer(rows, target, "overwrite", below).save(f"{target.name}/{staged}")
     folder = f"{target.stamp}={stamp}/{key}={batch}" if target.stamp else f"{key}={batch}"
     files.move(staged, folder)
-    return folder
+    return folder, True
 
 
 def _replace_files(

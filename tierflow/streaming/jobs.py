@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import replace
 from functools import partial
 
@@ -15,7 +15,7 @@ from tierflow.operators.bronze import INGEST_DATE
 from tierflow.operators.gold import DAILY, HOURLY, GoldShape, load_gold
 from tierflow.operators.latest import latest_users
 from tierflow.operators.log import newest_versions
-from tierflow.operators.messages import decode_messages, encode_gold, encode_messages
+from tierflow.operators.messages import MALFORMED, decode_messages, encode_gold, encode_messages
 from tierflow.operators.quality import score_quality
 from tierflow.operators.silver import (
     ENVELOPE,
@@ -24,6 +24,7 @@ from tierflow.operators.silver import (
     invalid_users,
     valid_users,
 )
+from tierflow.operators.unique import RECORD_HASH, unique_records
 from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA
 from tierflow.session import check_session, shared_dir
 from tierflow.settings import Settings
@@ -37,7 +38,14 @@ from tierflow.sources.tables import read_table
 from tierflow.streaming.gold import gold_writer
 from tierflow.streaming.latest import BUCKET, latest_writer
 from tierflow.streaming.stats import OUTPUT_MODES, stream_country_stats
-from tierflow.streaming.writers import LOAD_ID, BatchWriter, bronze_writer, silver_writer, table_writer
+from tierflow.streaming.writers import (
+    LOAD_ID,
+    BatchWriter,
+    bronze_writer,
+    silver_writer,
+    split_writer,
+    table_writer,
+)
 
 #: Tables that later layers follow: their schema, and what partitions them below
 #: the batch id. Gold and dead letters each read their own half of the cleaned rows.
@@ -136,7 +144,14 @@ def follow_up(feed: Feed, name: str, write: BatchWriter, settings: Settings, roo
 
 
 def bronze_query(decoded: DataFrame, settings: Settings) -> StreamingQuery:
-    return start(decoded, "bronze_writer", bronze_writer(followed(settings, BRONZE)), settings)
+    """Bronze rows. If ``decoded`` says which messages are no JSON object, those go to a
+    table of their own."""
+    writer = bronze_writer(followed(settings, BRONZE))
+    if MALFORMED in decoded.columns:
+        writer = split_writer(writer, outward(settings, "malformed_messages"))
+    if settings.unique_within is not None:
+        decoded = unique_records(decoded, settings.unique_within).drop(RECORD_HASH)
+    return start(decoded, "bronze_writer", writer, settings)
 
 
 def bronze_copy(bronze: DataFrame | Feed, settings: Settings) -> StreamingQuery:
@@ -277,7 +292,15 @@ LAYERS = ("bronze", "cleaned", "silver", "dlq", "latest", "daily", "hourly")
 def run_layers(
     spark: SparkSession, settings: Settings, layers: Iterable[str] = LAYERS
 ) -> list[StreamingQuery]:
-    """Start the chosen layer queries, each with its own checkpoint.
+    """Start the chosen layer queries, see :func:`layer_starters`."""
+    return [start_layer() for start_layer in layer_starters(spark, settings, layers).values()]
+
+
+def layer_starters(
+    spark: SparkSession, settings: Settings, layers: Iterable[str] = LAYERS
+) -> dict[str, Callable[[], StreamingQuery]]:
+    """What starts each of the chosen layer queries, or starts it again from its own
+    checkpoint; ``supervise`` takes these.
 
     Two queries read the topic: bronze keeps all user fields, the cleaned stream
     asks the parser only for what the strict policy uses. Silver follows the
@@ -286,11 +309,14 @@ def run_layers(
     """
 
     def bronze() -> StreamingQuery:
-        return bronze_query(decode_messages(stream_messages(spark, settings)), settings)
+        messages = stream_messages(spark, settings)
+        return bronze_query(decode_messages(messages, malformed=settings.split_malformed), settings)
 
     def cleaned() -> StreamingQuery:
-        messages = stream_messages(spark, settings, starting="earliest")
-        return cleaned_query(decode_messages(messages, INPUT_FIELDS), settings)
+        decoded = decode_messages(stream_messages(spark, settings, starting="earliest"), INPUT_FIELDS)
+        if settings.unique_within is not None:
+            decoded = unique_records(decoded, settings.unique_within).drop(RECORD_HASH)
+        return cleaned_query(decoded, settings)
 
     check_session(spark)
     sources = {"silver": BRONZE, "bronze_copy": BRONZE}
@@ -308,7 +334,7 @@ def run_layers(
         "daily": lambda: gold_query(rows["daily"], DAILY, settings),
         "hourly": lambda: gold_query(rows["hourly"], HOURLY, settings),
     }
-    return [starters[layer]() for layer in chosen]
+    return {layer: starters[layer] for layer in chosen}
 
 
 def await_any(spark: SparkSession) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tierflow.operators.bronze import to_bronze
+from tierflow.operators.messages import split_malformed
 from tierflow.operators.quality import quality_counts, split_by_quality
 from tierflow.sinks.tables import Target, commit_empty, ensure_table, is_published, write_batch
 
@@ -51,12 +52,28 @@ def bronze_writer(target: Target) -> BatchWriter:
         now, seen = dt.datetime.now(dt.timezone.utc), Observation()
         bronze = to_bronze(df, batch_id, F.lit(now))
         counted = bronze.observe(seen, F.count(F.lit(1)).alias("records"))
-        write_batch(counted, target, batch_id, stamp=now.date().isoformat(), filled=True)
-        logger.info("bronze batch %s: %s records", batch_id, seen.get["records"])
+        if write_batch(counted, target, batch_id, stamp=now.date().isoformat(), filled=True):
+            logger.info("bronze batch %s: %s records", batch_id, seen.get["records"])
 
     return writes(write, target)
 
 
+def split_writer(write: BatchWriter, malformed: Target) -> BatchWriter:
+    """Set messages aside that are no JSON object; the rest goes to ``write``. Both read
+    the micro-batch from a disk-backed cache, so it is parsed once."""
+
+    def split(df: DataFrame, batch_id: int) -> None:
+        cached = df.persist()
+        try:
+            decoded, broken = split_malformed(cached)
+            write(decoded, batch_id)
+            write_batch(broken, malformed, batch_id)
+        finally:
+            cached.unpersist()
+
+    return writes(split, *getattr(write, "tables", ()), malformed)
+
+
 def silver_writer(complete: Target, quarantine: Target) -> BatchWriter:
     """Complete rows to one table, the rest to another.
 
