@@ -1,3 +1,7 @@
+import datetime as dt
+import time
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +14,7 @@ from tierflow.sources.tables import read_table
 from tierflow.streaming import jobs
 from tierflow.streaming.supervision import LayerFailed, LayerMonitor, supervise
 from tierflow.streaming.writers import writes
-from tests.test_streaming import T0, dt, finish, send
+from tests.test_streaming import T0, finish, send
 
 
 def failing(times, write):
@@ -44,7 +48,7 @@ def test_a_failed_layer_is_restarted_and_counted(spark, users, settings):
         for _ in range(100):
             if monitor.queries.get("flaky") and monitor.queries["flaky"].rows == 2:
                 break
-            __import__("time").sleep(0.1)
+            time.sleep(0.1)
     finally:
         spark.streams.removeListener(monitor)
     assert monitor.queries["bronze_writer"].rows == 2 and len(monitor.queries["flaky"].failures) == 2
@@ -52,8 +56,6 @@ def test_a_failed_layer_is_restarted_and_counted(spark, users, settings):
 
 
 def test_others_stop_when_one_fails_for_good(spark, users, settings):
-    from dataclasses import replace
-
     send(users({}), settings)
     ticking = replace(settings, trigger={"processingTime": "1 second"})
     with pytest.raises(LayerFailed, match="flaky failed after 1 restarts"):
@@ -62,9 +64,8 @@ def test_others_stop_when_one_fails_for_good(spark, users, settings):
 
 
 def test_repeats_across_batches_and_bounded_state(spark, users, settings):
-    decoded = unique_records(decode_messages(stream_messages(spark, settings)), "1 hour")
-
     def run():
+        decoded = unique_records(decode_messages(stream_messages(spark, settings)), "1 hour")
         return finish(jobs.start(decoded, "unique", jobs.table_writer(jobs.target(settings, "unique")), settings))
 
     def at(minutes, offset, **more):
@@ -107,8 +108,6 @@ def test_malformed_messages_are_set_aside(spark):
 
 
 def test_bronze_with_a_table_for_malformed_messages(spark, users, settings):
-    from dataclasses import replace
-
     splitting = replace(settings, split_malformed=True)
     envelopes(spark, "no", None).write.mode("append").parquet(settings.topic)
     send(users({"offset": 7}), settings)
