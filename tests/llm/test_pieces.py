@@ -23,7 +23,7 @@ def test_random_texts_equal_the_library(pieces, library):
     draw = random.Random(3)
     parts = ["the", "ing", "  ", " ", "   ", "\n", "a", "tion", "é", "日本", "🦊", "qu", "\t", "123", "//", "oo", "▁", "́", "</s>", "<0x0A>"]
     texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(1500)]
-    ids, cuts = Encoder(pieces).encode(texts)
+    ids, cuts, _ = Encoder(pieces).encode(texts)
     assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == library.encode(texts)
 
 
@@ -73,3 +73,25 @@ def test_suffix_order():
 def test_merge_is_leftmost_best_first():
     assert merge("aaa", {"aa": 0.0}) == ["aa", "a"]
     assert merge("abc", {"ab": -2.0, "bc": -1.0}) == ["a", "bc"]
+
+
+def test_memory_is_bounded_by_letters_and_by_words(pieces):
+    tool = Encoder(pieces)
+    # Texts of a script without spaces are a word each.
+    texts = ["".join(chr(0x4E00 + (i * 37 + j * 11) % 900) for j in range(3000)) for i in range(40)]
+    want = [Encoder(pieces).encode([t])[0].tolist() for t in texts[:3]]
+    tool.letters = 1 << 24
+    tool.encode(texts[:1])
+    tool.letters += 1 << 24
+    ids, cuts, good = tool.encode(texts)
+    # The memory was emptied before these were read, and holds only them.
+    assert len(tool.known) == 40 and tool.letters <= 40 * 3001 and good.all()
+    assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])][:3] == want
+
+
+def test_round_trip_is_what_decoding_says(pieces):
+    texts = ["", None, "a b", "  two  spaces ", "\u2581 mark", "tab\tand\nline", "\U0001F98A \u65e5\u672c", "x" * 5000]
+    tool = Encoder(pieces)
+    ids, cuts, good = tool.encode(texts)
+    back = [tool.decode(ids[a:b].tolist()) == (t or "") for t, a, b in zip(texts, cuts, cuts[1:])]
+    assert good.tolist() == back and back.count(False) == 1

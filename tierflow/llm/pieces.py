@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ SPACE = "▁"
 #: A run of spaces with the characters behind it. No piece holds a space after
 #: another character, so no piece crosses from one word to the next.
 WORDS = re.compile(" *[^ ]+| +")
-#: Words remembered per Python process before the memory is emptied.
-MEMORY = 300_000
+#: Words, and characters of words, remembered per Python process before the memory is
+#: emptied. A word of a script without spaces may be a whole text.
+MEMORY, LETTERS = 800_000, 1 << 24
 
 
 @dataclass(frozen=True)
@@ -87,11 +89,24 @@ def merge(chars: str, scores: dict[str, float]) -> list[str]:
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
 
+class Known(dict):
+    """Numbers of words by first sight; ``fresh`` are those not encoded yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        number = self[word] = len(self)
+        return number
+
+
 @dataclass
 class Encoder:
     pieces: Pieces
     scores: dict[str, float] = field(init=False)
-    known: dict[str, int] = field(default_factory=dict, init=False)
+    known: Known = field(default_factory=Known, init=False)
 
     START, NOTHING = -1, -2
 
@@ -117,35 +132,44 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known.clear()
+        self.known, self.letters = Known(), 0
         self.flat = np.zeros(0, dtype=np.int32)
         self.begin, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.whole = np.zeros(0, dtype=bool)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the offsets between texts."""
-        if len(self.known) > MEMORY:
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, the offsets between texts, and whether the ids of
+        each text spell it: those of each of its words do, which is found out once."""
+        if len(self.known) > MEMORY or self.letters > LETTERS:
             self._forget()
         split = []
         for text in texts:
             text = (text or "").replace(SPACE, " ")
             split.append(WORDS.findall(" " + text if text and self.pieces.dummy_prefix else text))
-        new = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
-        if new:
-            self._learn(new)
-        known = self.known
-        index = np.fromiter((known[w] for words in split for w in words), dtype=np.int64)
+        index = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        if self.known.fresh:
+            self._learn(self.known.fresh)
+            self.known.fresh = []
         sizes = self.count[index]
         total = np.concatenate([[0], np.cumsum(sizes)])
         spread = np.repeat(self.begin[index] - total[:-1], sizes) + np.arange(total[-1])
-        offsets = total[np.cumsum([0, *map(len, split)])]
-        return self.flat[spread], offsets
+        cuts = np.cumsum([0, *map(len, split)])
+        broken = np.concatenate([[0], np.cumsum(~self.whole[index])])[cuts]
+        marked = np.array([SPACE in (text or "") for text in texts], dtype=bool)
+        return self.flat[spread], total[cuts], (np.diff(broken) == 0) & ~marked
 
     def _learn(self, words: list[str]) -> None:
         """Encode new words together and remember their ids."""
         ids, sizes = self._segment(words)
-        begin = len(self.flat) + np.cumsum(sizes) - sizes
-        for word in words:
-            self.known[word] = len(self.known)
+        ends = np.cumsum(sizes)
+        begin = len(self.flat) + ends - sizes
+        spelled, plain, cuts = self.pieces.spelled, ids.tolist(), [0, *ends.tolist()]
+        whole = [
+            b"".join([spelled[i] for i in plain[a:b]]) == word.encode("utf-8", "replace")
+            for word, a, b in zip(words, cuts, cuts[1:])
+        ]
+        self.whole = np.concatenate([self.whole, whole]).astype(bool)
+        self.letters += sum(map(len, words))
         self.flat = np.concatenate([self.flat, ids])
         self.begin = np.concatenate([self.begin, begin])
         self.count = np.concatenate([self.count, sizes])
@@ -324,9 +348,7 @@ def encode_pieces(
     def encode(batch: pa.RecordBatch):
         tool = encoder(shared.value)
         texts = batch.column(1).to_pylist()
-        ids, offsets = tool.encode(texts)
-        plain, cuts = ids.tolist(), offsets.tolist()
-        back = [tool.decode(plain[a:b]) == (t or "") for t, a, b in zip(texts, cuts, cuts[1:])]
+        ids, offsets, back = tool.encode(texts)
         tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
         columns = [batch.column(0), tokens, pa.array(np.diff(offsets), pa.int64()), pa.array(back, pa.bool_())]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "token_ids", "n_tokens", "round_trip"])
