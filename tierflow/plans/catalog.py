@@ -590,7 +590,9 @@ def _stream_unique_records(spark, sf_dir):
         _messages(spark, sf_dir, settings)
         _drained(spark, settings, "bronze")
     bronze = read_table(spark, jobs.table_name(settings, jobs.BRONZE), schema=BRONZE_SCHEMA)
-    return bronze.select(record_hash().alias("record_hash"), "user_id", "uuid", "fetched_at")
+    # A missing field and an empty one give the same hash, so either row may be the one.
+    fields = (F.coalesce(name, F.lit("")).alias(name) for name in ("user_id", "uuid", "fetched_at"))
+    return bronze.select(record_hash().alias("record_hash"), *fields)
 
 
 @query("stream_malformed_messages")

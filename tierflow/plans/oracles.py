@@ -163,7 +163,8 @@ ORACLES: dict[str, str] = {
         CASE WHEN error_type IS NULL THEN username END AS username, error_type FROM judged_messages""",
     "unique_records": f"""WITH {_SCORED} SELECT record_hash, "offset", user_id, uuid, fetched_at FROM scored
         QUALIFY row_number() OVER (PARTITION BY record_hash ORDER BY kafka_timestamp, "partition", "offset") = 1""",
-    "stream_unique_records": f"""WITH {_SCORED} SELECT DISTINCT record_hash, user_id, uuid, fetched_at FROM scored""",
+    "stream_unique_records": f"""WITH {_SCORED} SELECT DISTINCT record_hash,
+        coalesce(user_id, '') AS user_id, coalesce(uuid, '') AS uuid, coalesce(fetched_at, '') AS fetched_at FROM scored""",
     "stream_late_rows": f"WITH {_ON_TIME} SELECT * FROM daily",
     "normalise_records": f"""SELECT {_list({
         "user_id": API_EXPRESSIONS["id"],
