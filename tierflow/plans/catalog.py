@@ -560,10 +560,10 @@ def _stream_late_rows(spark, sf_dir):
 
 
 def _many_batches(spark: SparkSession, sf_dir: str, name: str, *layers: str) -> Settings:
-    """Six batches, a file each, of which old ones are merged half way and at the end."""
+    """Four batches, a file each, of which old ones are merged half way and at the end."""
     settings = _topic(spark, name, max_bytes=1)
     for half in (0, 1):
-        _messages(spark, sf_dir, settings, f"offset % 2 = {half}", files=3)
+        _messages(spark, sf_dir, settings, f"offset % 2 = {half}", files=2)
         _drained(spark, settings, "cleaned", *layers)
         jobs.maintain(spark, settings, fan=2)
     return settings
