@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from tierflow.llm import suffixes
-from tierflow.llm.suffixes import LoserTree, agreements, anchors, common, front_code, remove_repeats
+from tierflow.llm.suffixes import LoserTree, anchors, common, front_code, remove_repeats, repeated_starts
 
 
 def brute(texts, length):
@@ -27,7 +27,7 @@ def result(df, length):
     return [(r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in remove_repeats(df, length).collect()]
 
 
-@pytest.mark.parametrize("together", [4096, 1])
+@pytest.mark.parametrize("together", [suffixes.TOGETHER, 3, 1])
 def test_random_texts_match_brute_force(docs, monkeypatch, together):
     monkeypatch.setattr(suffixes, "TOGETHER", together)
     draw = random.Random(5)
@@ -60,11 +60,46 @@ def test_loser_tree_knows_common_prefixes():
         assert all(k == common(a, b) for (a, _), (b, k) in zip(merged, merged[1:]))
 
 
-def test_agreements_match_brute_force():
+def test_repeated_starts_match_brute_force():
     draw = random.Random(8)
-    for _ in range(200):
-        lefts = [bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 9))) for _ in range(draw.randint(2, 9))]
-        assert agreements(lefts) == [{common(a[::-1], b[::-1]) for j, b in enumerate(lefts) if j != i} for i, a in enumerate(lefts)]
+    for _ in range(400):
+        length = draw.randint(1, 6)
+        sides = [tuple(bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 7))) for _ in "lr") for _ in range(draw.randint(2, 12))]
+        sides.sort(key=lambda side: side[1])
+        lefts, rights = [a for a, _ in sides], [b for _, b in sides]
+        ahead = [0, *(common(a, b) for a, b in zip(rights, rights[1:]))]
+        got = repeated_starts(lefts, ahead, length)
+        for i, (left, right) in enumerate(sides):
+            want = set()
+            for j, (other, behind) in enumerate(sides):
+                shared, ending = common(right, behind), common(left[::-1], other[::-1])
+                want.update(b for b in range(ending + 1) if i != j and b + shared >= length)
+            assert {b for low, high in got[i] for b in range(low, high + 1)} == want
+            assert all(low <= high for low, high in got[i]) and all(a[0] > b[1] + 1 for a, b in zip(got[i], got[i][1:]))
+
+
+def test_near_copies_make_no_more_suffixes_than_contexts(docs, monkeypatch):
+    rows = {}
+    plain = suffixes.ordered
+    draw = random.Random(3)
+    base = [f"w{draw.randint(0, 999)}" for _ in range(120)]
+
+    def counted(df):
+        rows["suffixes"] = df.count()
+        return plain(df)
+
+    monkeypatch.setattr(suffixes, "ordered", counted)
+    seen = []
+    for copies in (20, 40, 80):
+        texts = []
+        for _ in range(copies):
+            words = list(base)
+            for place in draw.sample(range(120), 6):
+                words[place] = f"x{draw.randint(0, 10**6)}"
+            texts.append(" ".join(words))
+        assert sorted(result(docs(*enumerate(texts)), 60)) == list(enumerate(brute(texts, 60)))
+        seen.append(rows["suffixes"])
+    assert seen[2] < 2.5 * seen[1] < 6.25 * seen[0]
 
 
 def test_equal_strings_have_equal_anchors():

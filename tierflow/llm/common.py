@@ -81,18 +81,25 @@ def map_groups(
     find_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        # Batches of one unfinished group, joined only once it ends.
+        held: list[pa.Table] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            if held:
+                ends = pa.concat_tables([held[-1].slice(held[-1].num_rows - 1), rows.slice(0, 1), rows.slice(batch.num_rows - 1)])
+                if not len(_changes(ends, keys)):
+                    held.append(rows)
+                    continue
+            rows = pa.concat_tables([*held, rows]).combine_chunks()
             bounds = _changes(rows, keys)
             if len(bounds):
                 yield from fn(rows.slice(0, bounds[-1]), np.concatenate([[0], bounds]))
-            held = rows.slice(bounds[-1] if len(bounds) else 0)
-        if held is not None:
-            yield from fn(held, np.array([0, held.num_rows]))
+            held = [rows.slice(bounds[-1] if len(bounds) else 0)]
+        if held:
+            last = pa.concat_tables(held).combine_chunks()
+            yield from fn(last, np.array([0, last.num_rows]))
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 

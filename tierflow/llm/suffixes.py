@@ -9,9 +9,9 @@ neighbour in the order share ``length`` bytes. Most suffixes need no sorting:
   an anchor that occurs once cannot repeat;
 * strings with the same anchor lie side by side in one context. Equal contexts are
   one, with a count;
-* contexts around equal anchors agree on some bytes before the anchor. Only suffixes
-  that start where such agreements end are sorted: the longest common prefix there
-  tells how far all strings that start later repeat.
+* of contexts that differ one suffix is sorted, from the anchor on. What neighbours in
+  that order share to the right, and what contexts share to the left of the anchor,
+  tells which of their strings repeat.
 
 The sort is a distributed merge sort. Tasks sort runs, front-code them (each suffix
 as the length it shares with the one before and the rest) and exchange them by range;
@@ -22,6 +22,7 @@ already known to be common.
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 
 import numpy as np
@@ -34,9 +35,9 @@ from tierflow.llm.common import discard, map_batches, map_groups, stored
 LENGTH = 200
 #: Bytes of a block that can be an anchor, or half the length if that is less.
 ANCHOR = 32
-#: Contexts around one anchor that a task looks at together. Around a more common
+#: Contexts around one anchor whose left sides a task joins. Around a more common
 #: anchor every string is sorted.
-TOGETHER = 4096
+TOGETHER = 32_768
 #: Suffixes of one sorted run, and the expected size of the sample that sets the ranges.
 RUN, SAMPLE = 100_000, 4000
 
@@ -108,20 +109,81 @@ def common(a: bytes, b: bytes, known: int = 0) -> int:
     return known
 
 
-def agreements(lefts: list[bytes]) -> list[set[int]]:
-    """For each string all lengths of common endings with any of the others."""
-    order = sorted(range(len(lefts)), key=lambda i: lefts[i][::-1])
-    turned = [lefts[i][::-1] for i in order]
-    shared = [common(a, b) for a, b in zip(turned, turned[1:])]
-    found: list[set[int]] = [set() for _ in lefts]
-    for sequence, members in ((shared, order[1:]), (shared[::-1], order[::-1][1:])):
-        # Minima on the way to all strings before, kept as a rising stack.
-        stack: list[int] = []
-        for value, member in zip(sequence, members):
-            while stack and stack[-1] >= value:
-                stack.pop()
-            stack.append(value)
-            found[member].update(stack)
+def repeated_starts(
+    lefts: list[bytes], ahead: list[int], length: int
+) -> list[list[tuple[int, int]]]:
+    """For each context of one anchor the ranges of distances before the anchor at
+    which a string of ``length`` bytes starts that another context has as well.
+
+    Contexts come sorted by the bytes from the anchor on; ``lefts`` are the bytes before
+    it, ``ahead`` how many bytes from it on each shares with the one before. They are joined from the longest common ending of their
+    left sides to the shortest, the smaller set into the larger; within a set only
+    neighbours in the order can share most, so each insertion updates three contexts.
+    """
+    count = len(lefts)
+    # Least values over spans of 1, 2, 4, ... neighbours.
+    least = [ahead]
+    while 2 << len(least) - 1 <= count:
+        half, last = 1 << len(least) - 1, least[-1]
+        least.append([min(x, y) for x, y in zip(last, last[half:])])
+
+    def both(low: int, high: int) -> int:
+        level = (high - low).bit_length() - 1
+        row = least[level]
+        return min(row[low + 1], row[high + 1 - (1 << level)])
+
+    turned = sorted(range(count), key=lambda i: lefts[i][::-1])
+    backs = [lefts[i][::-1] for i in turned]
+    joins = sorted(((common(a, b), n) for n, (a, b) in enumerate(zip(backs, backs[1:]))), reverse=True)
+    root = list(range(count))
+    held: list[list[int]] = [[i] for i in turned]
+    # (distance, shared from the anchor on), the first falling, the second rising.
+    steps: list[list[tuple[int, int]]] = [[] for _ in range(count)]
+
+    def find(n: int) -> int:
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    def improve(at: int, back: int, shared: int) -> None:
+        known = steps[at]
+        if known and known[-1][1] >= shared:
+            return
+        if known and known[-1][0] == back:
+            known.pop()
+        known.append((back, shared))
+
+    for back, n in joins:
+        large, small = find(n), find(n + 1)
+        if len(held[large]) < len(held[small]):
+            large, small = small, large
+        into = held[large]
+        for at in held[small]:
+            where = bisect_left(into, at)
+            if where:
+                shared = both(into[where - 1], at)
+                improve(at, back, shared)
+                improve(into[where - 1], back, shared)
+            if where < len(into):
+                shared = both(at, into[where])
+                improve(at, back, shared)
+                improve(into[where], back, shared)
+            into.insert(where, at)
+        held[small] = []
+        root[small] = large
+    found: list[list[tuple[int, int]]] = []
+    for known in steps:
+        ranges: list[tuple[int, int]] = []
+        for (back, shared), (below, _) in zip(known, [*known[1:], (-1, 0)]):
+            low = max(below + 1, length - shared)
+            if low > back:
+                continue
+            if ranges and ranges[-1][0] == back + 1:
+                ranges[-1] = (low, ranges[-1][1])
+            else:
+                ranges.append((low, back))
+        found.append(ranges)
     return found
 
 
@@ -260,41 +322,51 @@ def _runs(suffixes: DataFrame, bounds: list[bytes]) -> DataFrame:
     return suffixes.mapInArrow(gather, SHIPPED)
 
 
-def shared_prefixes(suffixes: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(anchor, context, skip, shared): the longest prefix that each suffix shares with
-    any other, for those that share ``length`` bytes or more. ``suffixes`` has the
-    three key columns and ``suffix``."""
+ORDERED = KEY + ", part int, place int, ahead int, shared int"
+
+
+def ordered(suffixes: DataFrame) -> DataFrame:
+    """(anchor, context, skip, part, place, ahead, shared): the sorted suffixes, in the
+    order of part and place, with the length that each shares with the one before and
+    the longest that it shares with any other. Suffixes that are equal to another of
+    their run have no place. ``suffixes`` has the three key columns and ``suffix``."""
     spark = suffixes.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = min(1.0, SAMPLE / max(1, suffixes.count()))
+    count = suffixes.count()
+    # Ranges of bounded length, however many suffixes there are.
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(count / RUN))
+    share = min(1.0, max(SAMPLE, 4 * ranges) / max(1, count))
     seen = sorted({bytes(r[0]) for r in suffixes.select("suffix").sample(share, seed=1).collect()})
     bounds = sorted({seen[len(seen) * i // ranges] for i in range(1, ranges)}) if seen else []
     shipped = stored(_runs(suffixes, bounds), "suffix-runs")
-    settled = shipped.filter(F.col("part").isNull()).select("anchor", "context", "skip", "shared")
+    none = [F.lit(None).cast("int").alias(c) for c in ("part", "place", "ahead")]
+    settled = shipped.filter(F.col("part").isNull()).select("anchor", "context", "skip", *none, "shared")
 
     def merge(rows: pa.Table, bounds_: np.ndarray):
         columns = {c: rows.column(c).to_pylist() for c in ("lengths", "rests", "anchors", "contexts", "skips", "guards")}
-        out: list[list] = [[], [], [], []]
+        parts = rows.column("part").to_pylist()
+        out: list[list] = [[] for _ in range(7)]
         for low, high in zip(bounds_[:-1].tolist(), bounds_[1:].tolist()):
             runs = [(columns["lengths"][i], columns["rests"][i]) for i in range(low, high)]
-            before, best = None, 0
-
-            def settle(item, shared):
-                if item is not None and shared >= length and not columns["guards"][item[0]][item[1]]:
-                    for column, name in zip(out, ("anchors", "contexts", "skips")):
-                        column.append(columns[name][item[0]][item[1]])
-                    out[3].append(shared)
-
-            for run, place, _, shared in LoserTree(runs):
-                settle(before, max(best, shared))
-                before, best = (low + run, place), shared
-            settle(before, best)
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([*map(pa.array, out, types)], names=["anchor", "context", "skip", "shared"])
+            last = None
+
+            def settle(item, after):
+                if item is None or columns["guards"][item[0]][item[1]]:
+                    return
+                keys = (columns[name][item[0]][item[1]] for name in ("anchors", "contexts", "skips"))
+                for column, value in zip(out, (*keys, parts[low], item[2], item[3], max(item[3], after))):
+                    column.append(value)
+
+            for number, (run, place, _, shared) in enumerate(LoserTree(runs)):
+                settle(last, shared)
+                last = low + run, place, number, shared
+            settle(last, 0)
+        types = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
+        names = ["anchor", "context", "skip", "part", "place", "ahead", "shared"]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, out, types)], names=names)
 
     merged = map_groups(
         shipped.filter(F.col("part").isNotNull()).select("part", "lengths", "rests", "anchors", "contexts", "skips", "guards"),
-        ["part"], merge, KEY + ", shared int",
+        ["part"], merge, ORDERED,
     )
     return settled.unionByName(merged)
 
@@ -334,69 +406,109 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     contexts = stored(contexts, "suffix-contexts")
     # Contexts with equals repeat in full. Where contexts differ, one of each is cut out.
-    full = contexts.filter("n > 1").select("anchor", "context", F.lit(0).alias("begin"), (F.col("one.high") - F.col("one.low")).alias("end"))
+    whole = F.struct(F.lit(0).alias("begin"), (F.col("one.high") - F.col("one.low")).alias("end"))
+    full = contexts.filter("n > 1").select("anchor", "context", F.array(whole).alias("spans"))
     kinds = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     kinds = stored(kinds, "suffix-kinds")
     differing = contexts.join(kinds, "anchor").select("anchor", "context", "kinds", "one.*")
 
     def cut(batch: pa.RecordBatch):
-        rows = [batch.column(c).to_pylist() for c in ("text", "low", "high")]
-        data = [t.encode("utf-8", "surrogatepass")[a : b + length] for t, a, b in zip(*rows)]
-        before = pa.array(np.array(batch.column("at")) - np.array(batch.column("low")), pa.int32())
-        arrays = [batch.column("anchor"), batch.column("context"), batch.column("kinds"), before, pa.array(data, pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "context", "kinds", "before", "data"])
+        rows = [batch.column(c).to_pylist() for c in ("text", "low", "at", "high")]
+        lefts, rights = [], []
+        for text, low, at, high in zip(*rows):
+            data = text.encode("utf-8", "surrogatepass")
+            lefts.append(data[low:at])
+            rights.append(data[at : high + length])
+        ends = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in rights]
+        arrays = [
+            *(batch.column(c) for c in ("anchor", "context", "kinds")),
+            pa.array(lefts, pa.binary()), pa.array(rights, pa.binary()), pa.array(ends, pa.int64()),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "context", "kinds", "before", "behind", "end"])
 
     pieces = map_batches(
         differing.join(texts.select("h1", "h2", "text"), ["h1", "h2"]).select("anchor", "context", "kinds", "low", "high", "at", "text"),
-        cut, "anchor long, context long, kinds long, before int, data binary",
+        cut, "anchor long, context long, kinds long, before binary, behind binary, end long",
     )
     pieces = stored(pieces, "suffix-pieces")
-
-    def few(rows: pa.Table, bounds: np.ndarray):
-        data, before = rows.column("data").to_pylist(), rows.column("before").to_pylist()
-        picked, skips, tails = [], [], []
-        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            part = range(low, high)
-            for i, lengths in zip(part, agreements([data[i][: before[i]] for i in part])):
-                for back in sorted(lengths):
-                    skip = before[i] - back
-                    if len(data[i]) - skip >= length:
-                        picked.append(i)
-                        skips.append(skip)
-                        tails.append(data[i][skip:])
-        yield _suffix_rows(rows, picked, skips, tails)
-
-    def many(batch: pa.RecordBatch):
-        rows = pa.Table.from_batches([batch])
-        data = rows.column("data").to_pylist()
-        every_ = [(i, skip) for i, d in enumerate(data) for skip in range(len(d) - length + 1)]
-        yield _suffix_rows(rows, [i for i, _ in every_], [s for _, s in every_], [data[i][s : s + length] for i, s in every_])
-
-    shape = KEY + ", suffix binary"
-    some = map_groups(pieces.filter(F.col("kinds") <= TOGETHER), ["anchor"], few, shape)
-    rest = map_batches(pieces.filter(F.col("kinds") > TOGETHER), many, shape)
-    suffixes = stored(some.unionByName(rest), "suffixes")
-    found = shared_prefixes(suffixes, length).select(
-        "anchor", "context", F.col("skip").alias("begin"), (F.col("skip") + F.col("shared") - length).alias("end")
-    )
+    found = _near_anchors(pieces.filter(F.col("kinds") <= TOGETHER), length)
+    common_ = pieces.filter(F.col("kinds") > TOGETHER)
+    if not common_.isEmpty():
+        found = found.unionByName(_everywhere(common_, length))
     ranges = full.unionByName(found)
     placed = candidates.select("anchor", "context", "h1", "h2", "low").join(ranges, ["anchor", "context"])
-    placed = placed.groupBy("h1", "h2").agg(
-        F.collect_list(F.struct((F.col("low") + F.col("begin")).alias("a"), (F.col("low") + F.col("end")).alias("b"))).alias("starts")
+    moved = F.transform(
+        "spans", lambda x: F.struct((F.col("low") + x["begin"]).alias("a"), (F.col("low") + x["end"]).alias("b"))
     )
+    placed = placed.groupBy("h1", "h2").agg(F.flatten(F.collect_list(moved)).alias("starts"))
     result = stored(placed, "suffix-ranges")
-    for done in (candidates, pieces, suffixes):
+    for done in (candidates, pieces):
         discard(done)
     return result
 
 
-def _suffix_rows(rows: pa.Table, picked: list[int], skips: list[int], tails: list[bytes]) -> pa.RecordBatch:
-    chosen = pa.array(picked, pa.int64())
-    arrays = [rows.column(c).combine_chunks().take(chosen) for c in ("anchor", "context")]
-    arrays = [a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays]
-    return pa.RecordBatch.from_arrays(
-        [*arrays, pa.array(skips, pa.int32()), pa.array(tails, pa.binary())], names=["anchor", "context", "skip", "suffix"]
+def _near_anchors(pieces: DataFrame, length: int) -> DataFrame:
+    """Ranges of repeated starts. The bytes from the anchor on are sorted once per
+    anchor and ending, so there are no more suffixes than contexts; what contexts
+    share before the anchor is joined to that order per anchor."""
+    endings = pieces.groupBy("anchor", F.col("end").alias("context")).agg(F.first("behind").alias("suffix"))
+    suffixes = stored(endings.select("anchor", "context", F.lit(0).alias("skip"), "suffix"), "suffixes")
+    order = ordered(suffixes).select(
+        "anchor", F.lit(None).cast("long").alias("context"), F.col("context").alias("end"),
+        F.lit(None).cast("binary").alias("before"), F.lit(None).cast("int").alias("size"), "part", "place", "ahead",
+    )
+    none = [F.lit(None).cast("int").alias(c) for c in ("part", "place", "ahead")]
+    lefts = pieces.select("anchor", "context", "end", "before", F.octet_length("behind").alias("size"), *none)
+
+    def settle(rows: pa.Table, bounds: np.ndarray):
+        columns = [rows.column(c).to_pylist() for c in ("context", "end", "before", "size", "part", "place", "ahead")]
+        anchor = rows.column("anchor").to_pylist()
+        out: list[list] = [[], [], []]
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            context, end, before, size, part, place, ahead = (c[low:high] for c in columns)
+            where = {end[i]: (part[i], place[i], ahead[i]) for i in range(high - low) if context[i] is None}
+            members = [i for i in range(high - low) if context[i] is not None]
+            members.sort(key=lambda i: where[end[i]][:2])
+            # Equal endings follow each other and share all of theirs.
+            shared = [
+                size[i] if n and end[i] == end[members[n - 1]] else where[end[i]][2] if n else 0
+                for n, i in enumerate(members)
+            ]
+            lefts_ = [before[i] for i in members]
+            for i, ranges in zip(members, repeated_starts(lefts_, shared, length)):
+                if ranges:
+                    out[0].append(anchor[low])
+                    out[1].append(context[i])
+                    out[2].append([{"begin": len(before[i]) - far, "end": len(before[i]) - near} for near, far in ranges])
+        spans = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+        yield pa.RecordBatch.from_arrays(
+            [*map(pa.array, out, (pa.int64(), pa.int64(), spans))], names=["anchor", "context", "spans"]
+        )
+
+    found = map_groups(
+        order.unionByName(lefts), ["anchor"], settle, "anchor long, context long, spans array<struct<begin:int,end:int>>"
     )
+    return found
+
+
+def _everywhere(pieces: DataFrame, length: int) -> DataFrame:
+    """The same for anchors with very many contexts: all their strings are sorted."""
+
+    def cut(batch: pa.RecordBatch):
+        rows = pa.Table.from_batches([batch])
+        data = [a + b for a, b in zip(rows.column("before").to_pylist(), rows.column("behind").to_pylist())]
+        every = [(i, skip) for i, d in enumerate(data) for skip in range(len(d) - length + 1)]
+        chosen = pa.array([i for i, _ in every], pa.int64())
+        arrays = [
+            batch.column("anchor").take(chosen), batch.column("context").take(chosen),
+            pa.array([skip for _, skip in every], pa.int32()), pa.array([data[i][s : s + length] for i, s in every], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "context", "skip", "suffix"])
+
+    suffixes = stored(map_batches(pieces, cut, KEY + ", suffix binary"), "suffixes")
+    repeated = ordered(suffixes).filter(F.col("shared") >= length)
+    span = F.struct(F.col("skip").alias("begin"), F.col("skip").alias("end"))
+    return repeated.groupBy("anchor", "context").agg(F.collect_list(span).alias("spans"))
 
 
 def remove_repeats(
