@@ -62,7 +62,10 @@ class Scanner:
         self.rules = tuple(rules)
         patterns = [(rule.pattern, rule.either_case) for rule in self.rules]
         self.forward = compile_rules(patterns)
-        self.backward = [compile_rules([p], anywhere=False, backwards=True) for p in patterns]
+        # Where no match goes on, one that is complete has the shortest run there is.
+        self.backward = [
+            compile_rules([(_shortest(p), either)], anywhere=False, backwards=True) for p, either in patterns
+        ]
         self.table = np.array(self.forward.table, dtype=np.int32)
         self.resets = np.isin(np.arange(256), list(self.forward.resets))
 
@@ -82,7 +85,9 @@ class Scanner:
             data, text = encoded[number], texts[number]
             spans = self._spans(data, list(zip(ends, states[mine].tolist())))
             if len(data) != len(text):
-                spans = [(_points(data, a), _points(data, b), rule) for a, b, rule in spans]
+                points = np.cumsum(np.frombuffer(b"\x80" + data, dtype=np.uint8) & 0xC0 != 0x80)
+                # The byte put in front makes it the characters before each byte and at the end.
+                spans = [(int(points[a]), int(points[b]), rule) for a, b, rule in spans]
             found[number] = sorted(spans, key=lambda span: (span[0], span[2]))
         return found
 
@@ -163,8 +168,13 @@ def _leftmost(automaton: Automaton, data: bytes, end: int, least: int) -> int:
     return start
 
 
-def _points(data: bytes, at: int) -> int:
-    return len(data[:at].decode("utf-8", "surrogatepass"))
+def _shortest(pattern: str) -> str:
+    """The pattern with the run that it ends in as short as may be."""
+    if pattern.endswith("+"):
+        return pattern[:-1]
+    if pattern.endswith(",}"):
+        return pattern[:-2] + "}"
+    raise ValueError(f"pattern does not end in a run: {pattern}")
 
 
 _COMPILED: dict[tuple[Rule, ...], Scanner] = {}
