@@ -51,3 +51,16 @@ def test_awkward_rows(odd, docs):
     nothing = fit_language(odd.limit(0))
     assert predict_language(docs((9, "words")), nothing).first()["lang_pred"] == "und"
     assert predict_language(odd.limit(0), net).collect() == []
+
+
+def test_long_words_are_learned_from_and_forgotten_by_bytes(docs, monkeypatch):
+    # Both languages begin each word alike and differ behind the first part.
+    rows = [(i, "q" * language.STEPS + ("ab" if i % 2 else "xy") * 20, "one" if i % 2 else "two", "s") for i in range(40)]
+    net = fit_language(docs(*rows), sample_words=500)
+    got = predict_language(docs((90, "abab" * 9), (91, "xyxy" * 9)), net).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {90: "one", 91: "two"}
+    monkeypatch.setattr(language, "MEMORY_BYTES", 100)
+    labeller = language.Labeller(net)
+    for n in range(5):
+        labeller.predict([chr(97 + n) * 300])
+        assert len(labeller.known) == 1

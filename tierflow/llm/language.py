@@ -28,14 +28,19 @@ STEPS = 24
 #: Bounds of the training sample: documents and words per language.
 SAMPLE_DOCS, SAMPLE_WORDS = 200, 5000
 HIDDEN = 16
-#: Words remembered per Python process before the memory is emptied.
-MEMORY = 400_000
+#: Words remembered per Python process, and their bytes, before the memory is emptied.
+MEMORY, MEMORY_BYTES = 400_000, 1 << 25
 
 
 def words_of(text: str | None) -> list[bytes]:
     return WORDS.findall((text or "").lower().encode("utf-8", "ignore"))
 
 
+def parts_of(word: bytes) -> list[bytes]:
+    """A word in the parts that the network reads and is trained on."""
+    return [word[at : at + STEPS] for at in range(0, len(word), STEPS)]
+
+
 def has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
@@ -201,11 +206,12 @@ class Labeller:
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.bytes = 0
         self.sums = np.zeros((1, len(self.net.languages)), dtype=np.float32)
         self.sizes = np.zeros(1, dtype=np.int64)
 
     def _meet(self, words: list[bytes]) -> None:
-        parts = [(i, w[at : at + STEPS]) for i, w in enumerate(words) for at in range(0, len(w), STEPS)]
+        parts = [(i, part) for i, w in enumerate(words) for part in parts_of(w)]
         parts.sort(key=lambda part: len(part[1]))
         sums = np.zeros((len(words), self.sums.shape[1]), dtype=np.float32)
         sizes = np.zeros(len(words), dtype=np.int64)
@@ -217,13 +223,14 @@ class Labeller:
             np.add.at(sizes, owner, length)
         for word in words:
             self.known[word] = len(self.known) + 1
+            self.bytes += len(word)
         self.sums = np.concatenate([self.sums, sums])
         self.sizes = np.concatenate([self.sizes, sizes])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not self.net.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        if len(self.known) > MEMORY:
+        if len(self.known) > MEMORY or self.bytes > MEMORY_BYTES:
             self._forget()
         split = [words_of(text) for text in texts]
         new = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
@@ -257,15 +264,15 @@ def fit_language(
     sample_words: int = SAMPLE_WORDS,
 ) -> Network:
     """Train on documents that are not held out and have a language: per language
-    the ``sample_docs`` with the smallest text hash, and of their words
-    ``sample_words`` drawn by frequency."""
+    the ``sample_docs`` with the smallest text hash, and of their words, long ones in
+    parts, ``sample_words`` drawn by frequency."""
     usable = docs.filter(~held_out(id_col)).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     slim = usable.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     rows = slim.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).select("lang", "text").collect()
     found: dict[str, Counter] = {}
     for row in rows:
-        found.setdefault(row["lang"], Counter()).update(w[:STEPS] for w in words_of(row["text"]))
+        found.setdefault(row["lang"], Counter()).update(p for w in words_of(row["text"]) for p in parts_of(w))
     draw = np.random.default_rng(11)
     samples = {}
     for name, counts in sorted(found.items()):
