@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tierflow.llm.quality import estimate_accuracies, fit_quality, keep_quality, score_quality
+from tierflow.llm.quality import estimate_accuracies, facts, features, fit_quality, keep_quality, score_quality
 
 
 def test_agrees_with_the_labels(spark, sf_dir, documents):
@@ -33,3 +33,8 @@ def test_awkward_rows(odd):
     assert keep_quality(odd, model).columns == odd.columns
     empty = odd.limit(0)
     assert score_quality(empty, fit_quality(empty)).collect() == []
+
+
+def test_long_word_shapes_are_told_apart():
+    first, second = (b"a1b2c3d4e5" + end for end in (b"f6", b"!?"))
+    assert set(features(first, facts(first))) != set(features(second, facts(second)))

@@ -8,6 +8,7 @@ which a linear scorer over hashed features learns.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -113,8 +114,7 @@ def features(data: bytes, seen: Facts) -> dict[int, float]:
     classes = _CLASSES[np.frombuffer(data, dtype=np.uint8)]
     if len(classes):
         squeezed = classes[np.concatenate([[True], classes[1:] != classes[:-1]])].tobytes().split()
-        shapes, counts = np.unique(np.array(squeezed, dtype="S8"), return_counts=True)
-        for shape, count in zip(shapes.tolist(), counts.tolist()):
+        for shape, count in sorted(Counter(squeezed).items()):
             add(b"shape " + shape, count / len(squeezed))
     for name in ("symbols", "shouting", "exclaiming", "stuttering", "repeating", "plain", "stops"):
         add(f"fact {name}".encode(), min(2.0, getattr(seen, name)))
