@@ -112,3 +112,26 @@ def test_recall_with_mixed_norms(spark):
         hits.setdefault(r["query_id"], set()).add(r["vec_id"])
     recall = [len(got & set(brute_nearest(rows, q, 20))) / 20 for q, got in hits.items()]
     assert len(recall) == 20 and np.mean(recall) >= 0.97
+
+
+@pytest.mark.parametrize("copies", [60, 400])
+def test_copies_leave_recall_and_ties_right(spark, copies):
+    draw = np.random.default_rng(9)
+    x = draw.normal(size=(200, 16)).astype(np.float32)
+    common = draw.normal(size=16).astype(np.float32).tolist()
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(1000 + i, common) for i in range(copies)]
+    found: dict[int, list] = {}
+    for r in nearest(table(spark, rows)).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert set(found) == {i for i, _ in rows if i % 20 == 0}
+    assert all([rank for rank, _ in got] == list(range(1, 21)) for got in found.values())
+    recall = {q: len({i for _, i in got} & set(brute_nearest(rows, q, 20))) / 20 for q, got in found.items()}
+    assert min(recall[q] for q in recall if q >= 1000) == 1 and np.mean(list(recall.values())) >= 0.95
+
+
+def test_only_copies(spark):
+    rows = [(i, [1.0, 2.0]) for i in range(30)]
+    got: dict[int, list] = {}
+    for r in nearest(table(spark, rows)).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got == {0: [(i, 5.0) for i in range(1, 21)], 20: [(i, 5.0) for i in range(20)]}

@@ -56,25 +56,35 @@ def _unpacked(column) -> np.ndarray:
     return np.concatenate([own * ends[:, :1], ends[:, 1:]], axis=1)
 
 
-def _nodes(embeddings: DataFrame) -> tuple[DataFrame, int]:
-    """(node, vector) of equal length and norm, and the width.
-
-    One row per id: repeated rows are one vector, and of several vectors with one
-    id the smallest counts.
-    """
+def _vectors(embeddings: DataFrame) -> DataFrame:
+    """(vec_id, vector), one row per id: repeated rows are one vector, and of several
+    vectors with one id the smallest counts."""
     fine = embeddings.filter(usable_vector("embedding") & F.col("vec_id").isNotNull())
     plain = fine.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
-    plain = plain.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return stored(plain.groupBy("vec_id").agg(F.min("vector").alias("vector")), "nn-ids")
+
+
+def _nodes(plain: DataFrame, members: int) -> tuple[DataFrame, int]:
+    """(node, ids, vector) of equal length and norm, and the width.
+
+    One row per distinct vector, named by its smallest id and with its ``members``
+    smallest ids, which is as many as an answer can need. Tasks cut the copies of a
+    vector to these before the shuffle.
+    """
+    rank = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
+    some = plain.withColumn("rank", rank).filter(F.col("rank") <= members)
+    plain = some.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    plain = stored(plain.withColumn("square", square), "nn-vectors")
+    plain = plain.select(F.col("ids")[0].alias("node"), "ids", "vector", square.alias("square"))
+    plain = stored(plain, "nn-vectors")
     bound = plain.agg(F.max("square").alias("square"), F.max(F.size("vector")).alias("width")).first()
     if bound["width"] is None:
-        return plain.select(F.col("vec_id").alias("node"), "vector"), 0
+        return plain.select("node", "ids", "vector"), 0
     most, width = float(bound["square"]), int(bound["width"])
     padding = F.array_repeat(F.lit(0.0), F.lit(width) - F.size("vector"))
     rest = F.sqrt(F.greatest(F.lit(0.0), F.lit(most) - F.col("square")))
     full = F.concat(F.col("vector"), padding, F.array(rest))
-    return plain.select(F.col("vec_id").alias("node"), full.alias("vector")), width
+    return plain.select("node", "ids", full.alias("vector"), F.col("vector").alias("plain")), width
 
 
 def _starts(nodes: DataFrame, width: int, count: int) -> DataFrame:
@@ -243,37 +253,55 @@ def nearest(
     Scores are exact, in double precision on the original vectors; ties go to the
     smaller id. Fewer candidates give fewer rows. Rows with a null id and vectors
     that are null, empty, zero or not finite take no part. Repeated rows are one
-    vector; of several vectors with one id the smallest counts. Shorter vectors
-    are taken as padded with zeros. Other columns are not read; an empty table
-    gives no rows.
+    vector; of several vectors with one id the smallest counts. Equal vectors are one
+    node of the graph, searched once and expanded to their smallest ids in the end.
+    Shorter vectors are taken as padded with zeros. Other columns are not read; an
+    empty table gives no rows.
     """
-    nodes, width = _nodes(embeddings)
-    count = nodes.count()
-    if not width or count < 2:
-        none = nodes.select(F.col("node").alias("query_id")).limit(0)
+    plain = _vectors(embeddings)
+    found, width = _nodes(plain, k + 1)
+    if not width:
+        none = found.select(F.col("node").alias("query_id")).limit(0)
         return none.select(
             "query_id", F.lit(0).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0.0).alias("score")
         )
+    count = found.count()
     if beam is None:
         beam = math.ceil(BEAM * math.sqrt(max(1.0, count / FEW)))
-    graph = neighbour_graph(nodes, width, count)
-    pools = _search(nodes, graph, every, beam)
-    # The best of the pool by packed vectors, then exactly.
-    some = pools.select("query", F.explode(F.slice("ids", 1, 4 * k)).alias("vec_id"))
-    plain = nodes.select("node", F.slice("vector", 1, width).alias("vector"))
-    own = plain.select(F.col("node").alias("query"), F.col("vector").alias("wanted"))
-    pairs = some.join(plain.withColumnRenamed("node", "vec_id"), "vec_id").join(own, "query")
+    asked = plain.filter(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
+    asked = stored(asked.join(found.select("node", F.col("plain").alias("vector")), "vector").select("query_id", "node"), "nn-queries")
+    starts = asked.select("node").distinct()
+    nodes = found.select("node", "vector")
+    if count > 1:
+        graph = neighbour_graph(nodes, width, count)
+        pools = _search(nodes.join(starts, "node", "left_semi"), graph, beam)
+    else:
+        pools = starts.select(F.col("node").alias("query"), F.array().cast("array<long>").alias("ids"))
+    # The best of the pool by packed vectors, then exactly. Copies of the query count.
+    near = F.concat(F.array("query"), F.slice("ids", 1, 4 * k))
+    some = pools.select("query", F.explode(near).alias("node"))
+    exact = found.select("node", "ids", F.slice("vector", 1, width).alias("vector"))
+    own = exact.select(F.col("node").alias("query"), F.col("vector").alias("wanted"))
+    pairs = some.join(exact, "node").join(own, "query")
     product = F.aggregate(F.zip_with("wanted", "vector", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    scored = pairs.select(F.col("query").alias("query_id"), "vec_id", product.alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scored = pairs.select("query", "node", "ids", product.alias("score"))
+    # No answer needs more than the k + 1 best vectors, nor more than the k + 1 best ids
+    # of these: k and the query's own.
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
+    scored = scored.withColumn("rank", rank).filter(F.col("rank") <= k + 1)
+    entries = F.transform("ids", lambda i: F.struct((-F.col("score")).alias("less"), i.alias("vec_id"), F.col("score").alias("score")))
+    best = scored.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list(entries))), 1, k + 1).alias("best"))
+    answers = asked.join(best.withColumnRenamed("query", "node"), "node")
+    others = F.slice(F.filter("best", lambda e: e["vec_id"] != F.col("query_id")), 1, k)
+    answers = answers.select("query_id", F.posexplode(others).alias("place", "e"))
+    return answers.select("query_id", (F.col("place") + 1).alias("rank"), F.col("e.vec_id").alias("vec_id"), F.col("e.score").alias("score"))
 
 
 POOL = "query long, wanted binary, ids array<long>, scores array<float>, done array<boolean>"
 
 
-def _search(nodes: DataFrame, graph: DataFrame, every: int, beam: int) -> DataFrame:
-    """The ``beam`` best vectors found per query, best first."""
+def _search(queries: DataFrame, graph: DataFrame, beam: int) -> DataFrame:
+    """The ``beam`` best vectors found per query, best first. ``queries`` are nodes."""
     near = _neighbourhoods(graph).select("node", "other", "packed")
 
     def gather(rows: pa.Table, bounds: np.ndarray):
@@ -304,7 +332,7 @@ def _search(nodes: DataFrame, graph: DataFrame, every: int, beam: int) -> DataFr
         yield pa.RecordBatch.from_arrays(columns, names=["query", "wanted", "ids", "scores", "done"])
 
     # A query is a node of the graph, so its walk begins at itself.
-    pools = stored(map_batches(nodes.filter(F.col("node") % every == 0), begin, POOL), "nn-pools")
+    pools = stored(map_batches(queries, begin, POOL), "nn-pools")
     # Pools only get better and nothing is expanded twice while it is in one.
     while True:
         walked = stored(_walk(pools, around, beam), "nn-pools")
