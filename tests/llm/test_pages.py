@@ -29,6 +29,9 @@ def test_article_without_what_surrounds_it():
         ("<div class=content>a</div><div>b</div>", "a"),
         ("<article>a</b></div>b</article>", "a b"),
         ("<article>1 < 2 and 3<4</article>", "1 < 2 and 3<4"),
+        ('<div class="wrap no-sidebar"><article>a</article></div>', "a"),
+        ("<article>a<script src=a />code</script>b</article>", "a b"),
+        ("<article>a<svg />b</article>", "a b"),
         ("<div>a</div>", None),
         ("", None),
     ],

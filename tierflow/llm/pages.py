@@ -50,6 +50,8 @@ CONTENT = frozenset(
 _TAG = re.compile(r"""<(?:(!--)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>)""")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+#: Class names that say what an element has around or beside it, not what it is.
+_MODIFIER = re.compile(r"(?:no|has|with|without)[-_]")
 _OPEN_TAG = re.compile(r"<[a-zA-Z/!?]")
 
 #: What a piece of text stands in: the deepest kind of content around it.
@@ -59,7 +61,8 @@ NOWHERE, BODY, CONTAINER, MAIN, ARTICLE = range(5)
 def _names(attributes: str) -> tuple[list[str], list[str]]:
     """Whole class, id and role names, and the words they are made of."""
     whole = [v for m in _NAMED.finditer(attributes) for v in (m[2] or m[3] or m[4] or "").lower().split()]
-    return whole, [part for name in whole for part in re.split(r"[^a-z0-9]+", name)]
+    named = [name for name in whole if not _MODIFIER.match(name)]
+    return whole, [part for name in named for part in re.split(r"[^a-z0-9]+", name)]
 
 
 def _meaning(name: str, attributes: str, around: int) -> int:
@@ -127,7 +130,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
             close(kind)
         if name in RAW and not tag[3]:
             stop = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
-            if not attributes.endswith("/"):
+            # Only foreign elements can close themselves.
+            if name not in ("svg", "math") or not attributes.endswith("/"):
                 at = stop.end() if stop else end
             continue
         if name in VOID:
