@@ -23,6 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Leading hex digits of the shuffle key that name a wide and a narrow bucket of the
 #: running sums. Each level splits a source 256-fold.
 LEVELS = (2, 4)
+#: Ranges of finish times up to the time at which the targets are used up.
+RANGES = 65_536
 
 
 def word_count(text: str) -> Column:
@@ -38,25 +40,42 @@ def source_targets(
     ``copies`` times its size, the excess shared again by weight.
 
     ``sizes`` has one row per source: source, source_size. The water level is
-    found in one pass over the sources ordered by how early they fill up.
+    found in one pass over the sources ordered by how early they fill up. Sources may
+    be many: they are ranked and summed range by range.
     """
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     pattern = F.array(*(F.lit(int(w)) for w in weights))
-    weighed = sizes.withColumn("weight", F.element_at(pattern, ((rank - 1) % len(weights) + 1).cast("int")))
+    ranked = _running(sizes.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], ["one"])
+    place = (F.col("one_before") % len(weights) + 1).cast("int")
+    weighed = ranked.select("source", "source_size", F.element_at(pattern, place).alias("weight"))
     weighed = weighed.withColumn("cap", F.col("source_size") * copies)
-    full = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    every = Window.partitionBy()
-    before = full.rowsBetween(Window.unboundedPreceding, -1)
-    after = full.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    filling = [(F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last()]
+    weighed = stored(_running(weighed, filling, ["cap", "weight"]), "mix-sources")
+    total = weighed.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
     # The level if all sources ahead are full and the others share the rest. It
     # rises up to the first source that does not fill up and falls from there on,
     # so the highest is the right one.
-    budget = F.sum("source_size").over(every) * F.lit(float(budget_share))
-    rest = budget - F.coalesce(F.sum("cap").over(before), F.lit(0))
-    level = weighed.withColumn("level", rest / F.sum("weight").over(after))
-    highest = level.withColumn("level", F.max("level").over(every))
-    target = F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))
-    return highest.select("source", "source_size", target.alias("target"))
+    rest = F.lit(float((total["size"] or 0) * float(budget_share))) - F.col("cap_before")
+    level = weighed.agg(F.max(rest / (F.lit(total["weight"]) - F.col("weight_before")))).first()[0]
+    target = F.least(F.col("cap").cast("double"), F.lit(level).cast("double") * F.col("weight"))
+    return weighed.select("source", "source_size", target.alias("target"))
+
+
+def _running(rows: DataFrame, order: list[Column], sums: list[str]) -> DataFrame:
+    """``rows`` with ``<name>_before`` for each of ``sums``: the sum over all rows ahead
+    in a global order. Rows are dealt to ranges; only the sums of ranges, as many as
+    there are shuffle partitions, meet in one task."""
+    ranges = rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    ranges = stored(ranges, "mix-ranges")
+    past = (Window.unboundedPreceding, -1)
+    before = {f"{n}_before": F.coalesce(F.sum(n).over(Window.orderBy("range").rowsBetween(*past)), F.lit(0)) for n in sums}
+    whole = ranges.groupBy("range").agg(*(F.sum(n).alias(n) for n in sums))
+    whole = whole.select("range", *(before[f"{n}_before"].alias(f"{n}_far") for n in sums))
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(*past)
+    near = ranges.select("*", *(F.coalesce(F.sum(n).over(within), F.lit(0)).alias(f"{n}_near") for n in sums))
+    joined = near.join(whole, "range")
+    return joined.select(
+        *rows.columns, *((F.col(f"{n}_near") + F.col(f"{n}_far")).alias(f"{n}_before") for n in sums)
+    )
 
 
 def _keyed(docs: DataFrame, seed: str) -> DataFrame:
@@ -100,48 +119,96 @@ def mix_sources(
     ``docs`` has doc_id, source and size (words). Adds source_size, target (words
     of the source), taken (words over all copies) and ``start`` and ``finish``,
     the virtual times of its first copy. Copy n of a document follows all copies
-    n-1 of its source. The document on the boundary is taken in part, so a source
-    misses its target by less than a word.
+    n-1 of its source. All copies of all sources queue by finish time, and the queue is
+    cut where the budget, in whole words, is spent. A copy in service at that time is
+    taken in part, so a source misses its target by less than a word.
 
     A null source is a source of its own, ordered last. Documents of no words
     take none. Repeated rows count each; equal rows are ordered arbitrarily among
     themselves, which changes no output row. An empty table gives no rows.
     """
     keyed = _keyed(docs, seed)
-    cells = keyed.groupBy("group", "cell").agg(F.sum("size").alias("words"), F.first("source").alias("source"))
+    thin = stored(keyed.select("group", "cell", "key", "doc_id", "source", "size"), "mix-sizes")
+    cells = thin.groupBy("group", "cell").agg(F.sum("size").alias("words"), F.first("source").alias("source"))
     cells = stored(cells, "mix-cells")
     sizes = cells.groupBy("group").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
     targets = source_targets(sizes.select("source", "source_size"), weights, budget_share, copies)
-    targets = _grouped(targets).drop("source")
-    # One shuffle brings the rows of a bucket and its offset together. A source
-    # with most of the rows is spread over all its buckets.
-    over = Window.partitionBy("group", "cell").orderBy("key", "doc_id", "size")
-    within = F.coalesce(F.sum("size").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = keyed.withColumn("within", within).join(_offsets(cells), ["group", "cell"])
-    placed = placed.withColumn("before", F.col("within") + F.col("ahead")).drop("within", "ahead", "cell", "key")
-    rows = placed.join(targets, "group").drop("group")
-    # Served words of copy n: those with a finish time of 1 or less, which is where
-    # the targets add up to the budget.
-    served = [
-        F.greatest(
-            F.lit(0),
-            F.least(
-                F.col("size"),
-                F.floor("target") - F.col("before") - F.lit(n) * F.col("source_size"),
-            ),
-        )
-        for n in range(copies)
-    ]
-    taken = served[0]
-    for more in served[1:]:
-        taken = taken + more
+    targets = stored(_grouped(targets).drop("source"), "mix-targets")
+    offsets = stored(_offsets(cells), "mix-offsets")
+    order = stored(_placed(thin, offsets, targets).select("group", "before", "size", "source_size", "target"), "mix-order")
+    budget = targets.agg(F.sum(F.floor("target"))).first()[0] or 0
+    cut = _cut(order, budget, copies)
+    # Without further columns the stored sizes are all there is to read.
+    whole = thin if set(docs.columns) == {"doc_id", "source", "size"} else keyed
+    rows = _placed(whole, offsets, targets)
+    taken = sum((_served(packet, cut) for packet in _packets(copies)), F.lit(0))
     return rows.withColumns(
         {
             "taken": taken.cast("long"),
             "start": F.try_divide("before", "target"),
             "finish": F.try_divide(F.col("before") + F.col("size"), "target"),
         }
-    )
+    ).drop("group")
+
+
+def _placed(rows: DataFrame, offsets: DataFrame, targets: DataFrame) -> DataFrame:
+    """Rows with the words ``before`` them in the shuffled order of their source. One
+    shuffle brings the rows of a bucket and its offset together; a source with most
+    of the rows is spread over all its buckets."""
+    over = Window.partitionBy("group", "cell").orderBy("key", "doc_id", "size")
+    within = F.coalesce(F.sum("size").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.withColumn("within", within).join(offsets, ["group", "cell"])
+    placed = placed.withColumn("before", F.col("within") + F.col("ahead")).drop("within", "ahead", "cell", "key")
+    return placed.join(targets, "group")
+
+
+def _packets(copies: int) -> list[tuple[Column, Column]]:
+    """(words, finish time) of what a row sends into the queue. A copy is one packet;
+    the one that is being served at time 1, when the targets are used up, is two, cut
+    after the last word that is finished then."""
+    whole = F.floor("target")
+    packets = []
+    for n in range(copies):
+        begin = F.col("before") + F.lit(n) * F.col("source_size")
+        end = begin + F.col("size")
+        middle = F.least(F.greatest(begin, whole), end)
+        packets += [(middle - begin, F.try_divide(middle, "target")), (end - middle, F.try_divide(end, "target"))]
+    return packets
+
+
+def _cut(order: DataFrame, budget: int, copies: int) -> tuple[float, str, int] | None:
+    """The packet with which the budget is spent, in the global order of finish times:
+    its finish time and source, and the words taken of it.
+
+    Packets are dealt to ranges of finish times, evenly filled since each source
+    advances evenly; running totals over the ranges, whose number is fixed, tell the
+    range in which the budget ends, and only that one is sorted.
+    """
+    packets = F.array(*(F.struct(words.cast("long").alias("words"), finish.alias("finish")) for words, finish in _packets(copies)))
+    sent = order.select("group", F.explode(packets).alias("p")).select("group", "p.words", "p.finish").filter("words > 0")
+    sent = sent.withColumn("range", F.least(F.floor(F.col("finish") * RANGES), F.lit(2 * RANGES)))
+    past = (Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("words").over(Window.orderBy("range").rowsBetween(*past)), F.lit(0))
+    ranges = sent.groupBy("range").agg(F.sum("words").alias("words")).withColumn("before", before)
+    last = ranges.filter(F.col("before") < budget).orderBy(F.desc("range")).first()
+    if last is None:
+        return None
+    ahead = Window.orderBy("finish", "group").rowsBetween(*past)
+    before = F.coalesce(F.sum("words").over(ahead), F.lit(0)) + last["before"]
+    inside = sent.filter(F.col("range") == last["range"]).withColumn("before", before)
+    end = inside.filter(F.col("before") < budget).orderBy(F.desc("finish"), F.desc("group")).first()
+    return end["finish"], end["group"], min(end["words"], budget - end["before"])
+
+
+def _served(packet: tuple[Column, Column], cut: tuple[float, str, int] | None) -> Column:
+    """Words taken of a packet, given where the budget ends."""
+    if cut is None:
+        return F.lit(0)
+    words, finish = packet
+    time, group, rest = F.lit(cut[0]), F.lit(cut[1]), F.lit(cut[2])
+    ahead = (finish < time) | (finish == time) & (F.col("group") < group)
+    ending = (finish == time) & (F.col("group") == group)
+    return F.when(ahead, words).when(ending, F.least(words, rest)).otherwise(0)
 
 
 def mixed_stream(docs: DataFrame, text_col: str = "text", copies: int = 2, **options) -> DataFrame:
