@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Streaming state on local disk with checkpointed changes, not on the heap.
+STATE = {
+    PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Each is set only where the cluster has not set it.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -14,13 +24,11 @@ DEFAULTS = {
     # HotSpot never compiles methods above 8000 bytes of bytecode; past that size
     # a wide projection runs faster split up than as one interpreted method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Streaming state on local disk with checkpointed changes, not on the heap.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE,
 }
 
+_changing = threading.Lock()
+
 
 def create_session(app: str = "tierflow", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -49,10 +57,29 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def check_session(spark: SparkSession) -> None:
-    """Fail on a session whose settings would change results or lose state quietly."""
+    """Fail on a session whose settings would change results quietly."""
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
         raise ValueError(f"event dates are UTC days, but the session is in {zone}; use create_session")
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != DEFAULTS[key]:
-        raise ValueError(f"set {key} to {DEFAULTS[key]}: state must not live on the heap; use create_session")
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that start in here keep their state on disk in any session.
+
+    A stream copies the settings of its session when it starts, so those of the session
+    come back afterwards.
+    """
+    with _changing:
+        before = {key: spark.conf.get(key, None) for key in STATE}
+        changed = {key: value for key, value in STATE.items() if key == PROVIDER or before[key] is None}
+        try:
+            for key, value in changed.items():
+                spark.conf.set(key, value)
+            yield
+        finally:
+            for key in changed:
+                if before[key] is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, before[key])

@@ -26,7 +26,7 @@ from tierflow.operators.silver import (
 )
 from tierflow.operators.unique import RECORD_HASH, unique_records
 from tierflow.schemas import BRONZE_SCHEMA, CLEANED_SCHEMA
-from tierflow.session import check_session, shared_dir
+from tierflow.session import check_session, shared_dir, state_on_disk
 from tierflow.settings import Settings
 from tierflow.sinks.commits import CommitLog, Files, TableInUse, Writer, writing_as
 from tierflow.sinks.merging import FAN, LARGE, merge_batches
@@ -310,13 +310,15 @@ def layer_starters(
 
     def bronze() -> StreamingQuery:
         messages = stream_messages(spark, settings)
-        return bronze_query(decode_messages(messages, malformed=settings.split_malformed), settings)
+        with state_on_disk(spark):
+            return bronze_query(decode_messages(messages, malformed=settings.split_malformed), settings)
 
     def cleaned() -> StreamingQuery:
         decoded = decode_messages(stream_messages(spark, settings, starting="earliest"), INPUT_FIELDS)
         if settings.unique_within is not None:
             decoded = unique_records(decoded, settings.unique_within).drop(RECORD_HASH)
-        return cleaned_query(decoded, settings)
+        with state_on_disk(spark):
+            return cleaned_query(decoded, settings)
 
     check_session(spark)
     sources = {"silver": BRONZE, "bronze_copy": BRONZE}
