@@ -516,10 +516,14 @@ def _stream_silver_users(spark, sf_dir):
 # Streams that go on: new checkpoints, late rows, merged batches, repeats
 
 
-def _messages(spark: SparkSession, sf_dir: str, settings: Settings, part: str = "true", files: int = 1) -> None:
-    """Add the messages of some records to a topic, in a number of files."""
+def _messages(
+    spark: SparkSession, sf_dir: str, settings: Settings, part: str = "true", files: int | None = None
+) -> None:
+    """Add the messages of some records to a topic, in a number of files if one is given."""
     sent = inputs.envelopes(inputs.as_instants(_raw(spark, sf_dir))).filter(part)
-    sent.repartition(files, "offset").write.mode("append").format(settings.message_format).save(settings.topic)
+    if files is not None:
+        sent = sent.repartition(files, "offset")
+    sent.write.mode("append").format(settings.message_format).save(settings.topic)
 
 
 def _topic(spark: SparkSession, name: str, **more) -> Settings:
