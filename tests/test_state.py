@@ -58,6 +58,7 @@ def test_state_is_on_disk_in_any_session(spark, users, settings, unset, layer, n
 QUERIES = [
     "stream_late_rows",
     "stream_malformed_messages",
+    "stream_merged_gold",
     "stream_unique_records",
 ]
 
