@@ -59,6 +59,7 @@ QUERIES = [
     "stream_late_rows",
     "stream_malformed_messages",
     "stream_merged_gold",
+    "stream_merged_latest_users",
     "stream_unique_records",
 ]
 
