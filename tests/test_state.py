@@ -60,6 +60,7 @@ QUERIES = [
     "stream_malformed_messages",
     "stream_merged_gold",
     "stream_merged_latest_users",
+    "stream_new_checkpoint",
     "stream_unique_records",
 ]
 
