@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 import check_oracles
+from tierflow.plans import catalog
 from tierflow.session import PROVIDER, STATE
+from tierflow.sinks.commits import CommitLog
 from tierflow.streaming import jobs
 from tests.test_streaming import finish, send
 
@@ -69,3 +71,25 @@ QUERIES = [
 def test_query_equals_its_sql_in_any_session(spark, unset, events, name):
     folder, con = events
     assert check_oracles.compare(spark, con, folder, name) is None
+
+
+@pytest.fixture(scope="module")
+def same_ids(tmp_path_factory, events):
+    """The same events with two ids only."""
+    folder, con = tmp_path_factory.mktemp("same_ids"), duckdb.connect()
+    con.execute(f"""COPY (SELECT 30 + event_id % 2 AS event_id, * EXCLUDE (event_id) FROM '{events[0]}/events.parquet')
+        TO '{folder}/events.parquet'""")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet'")
+    return str(folder), con
+
+
+MERGED = [("stream_merged_gold", "daily")]
+
+
+@pytest.mark.parametrize("name, layer", MERGED)
+def test_merged_batches_are_four_whatever_the_ids(spark, same_ids, monkeypatch, name, layer):
+    folder, con = same_ids
+    made, many = [], catalog._many_batches
+    monkeypatch.setattr(catalog, "_many_batches", lambda *args: made.append(many(*args)) or made[-1])
+    assert check_oracles.compare(spark, con, folder, name) is None
+    assert CommitLog(spark, jobs.table_name(made[0], jobs.CLEANED)).newest() == 3

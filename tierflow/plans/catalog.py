@@ -519,10 +519,10 @@ def _stream_silver_users(spark, sf_dir):
 def _messages(
     spark: SparkSession, sf_dir: str, settings: Settings, part: str = "true", files: int | None = None
 ) -> None:
-    """Add the messages of some records to a topic, in a number of files if one is given."""
+    """Add the messages of some records to a topic, in a number of even files if one is given."""
     sent = inputs.envelopes(inputs.as_instants(_raw(spark, sf_dir))).filter(part)
     if files is not None:
-        sent = sent.repartition(files, "offset")
+        sent = sent.repartition(files)
     sent.write.mode("append").format(settings.message_format).save(settings.topic)
 
 
