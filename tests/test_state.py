@@ -83,7 +83,7 @@ def same_ids(tmp_path_factory, events):
     return str(folder), con
 
 
-MERGED = [("stream_merged_gold", "daily")]
+MERGED = [("stream_merged_gold", "daily"), ("stream_merged_latest_users", "latest")]
 
 
 @pytest.mark.parametrize("name, layer", MERGED)
